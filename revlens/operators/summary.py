@@ -37,13 +37,17 @@ def overview(df: DataFrame, keys: Sequence[str] = (), approx: bool = False) -> D
 def rating_histogram(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """A15 + J5 + S8: counts of ratings 1..5, zero for absent ones; half stars fall out.
 
-    The five-row spine is the preserved side of a left join against a
-    five-row-at-most aggregate, so the join is broadcast by size.
+    The five-row spine is the preserved side of a left join against an
+    aggregate of at most five rows (filtered to the spine values first), so
+    broadcasting it is bounded.
     """
     spark = spark or df.sparkSession
-    counts = df.groupBy("rating").agg(F.count(F.lit(1)).alias("count"))
+    spine = rating_spine(spark)
+    # only spine values can match, so the aggregate has at most five rows
+    counts = df.filter(F.col("rating").isin([1.0, 2.0, 3.0, 4.0, 5.0])).groupBy("rating").agg(
+        F.count(F.lit(1)).alias("count"))
     return (
-        rating_spine(spark)
+        spine
         .join(F.broadcast(counts), "rating", "left")
         .select("rating", F.coalesce("count", F.lit(0)).alias("count"), rating_label("rating").alias("rating_label"))
         .orderBy("rating")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.dates import day_start_epoch
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
-from revlens.operators import evaluate, products, recommend, search, summary, timeline, users
+from revlens.operators import evaluate, products, recommend, search, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.plans.tables import clean_table, stored_reviews
@@ -468,6 +468,22 @@ sql_export_sample = with_reviews(f"""
 select review_id, product_id, user_id, rating, price, review_time from clean
 order by md5(review_id), review_id limit {SAMPLE_ROWS}""")
 
+def q_price_corrections(spark, sf_dir):
+    """Reviews stored with an unknown price are replaced by corrected rows
+    (list price of the part), keyed by review_id."""
+    stored = stored_reviews(spark, sf_dir)
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_retailprice").cast("float").alias("_list"))
+    changes = (stored.filter(F.col("price").isNull()).join(part, "product_id")
+               .withColumn("price", F.col("_list")).drop("_list"))
+    return upsert.upsert(stored, changes).select("review_id", "product_id", "price", "rating", "category")
+
+
+sql_price_corrections = with_reviews("""
+select review_id, product_id, coalesce(price, cast(p_retailprice as float)) as price, rating, category
+from reviews join part on product_id = cast(p_partkey as varchar)""")
+
+
 # ---- recommendation data flow --------------------------------------------------------
 
 
@@ -651,6 +667,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "raw_roundtrip": (q_raw_roundtrip, sql_raw_roundtrip),
     "csv_roundtrip": (q_csv_roundtrip, sql_csv_roundtrip),
     "export_sample": (q_export_sample, sql_export_sample),
+    "price_corrections": (q_price_corrections, sql_price_corrections),
     "activity_filter": (q_activity_filter, sql_activity_filter),
     "user_index": (q_user_index, sql_user_index),
     "product_index": (q_product_index, sql_product_index),

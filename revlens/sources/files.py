@@ -46,13 +46,14 @@ def conform(df: DataFrame, with_stored: bool = True) -> DataFrame:
 def write_review_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store reviews as parquet partitioned by ``category``.
 
-    Range-partitioning on (category, product_id) keeps each category in few
-    files per task, splits a hot category over many tasks, and sorts
-    ``product_id`` inside files so product look-ups skip row groups.
+    Range-partitioning on (category, product_id, review_id) keeps each
+    category in few files per task, splits a hot category - or a single hot
+    product - over several tasks, and sorts ``product_id`` inside files so
+    product look-ups skip row groups.
     """
     (
         conform(df)
-        .repartitionByRange("category", "product_id")
+        .repartitionByRange("category", "product_id", "review_id")
         .sortWithinPartitions("category", "product_id", "review_time")
         .write.mode(mode)
         .partitionBy("category")
@@ -81,7 +82,8 @@ def read_review_table(
     if not path_exists(spark, path):
         df = empty_reviews(spark)
     else:
-        df = spark.read.parquet(path)
+        # explicit schema: the partition column stays a string whatever its values look like
+        df = spark.read.schema(STORED_SCHEMA).parquet(path)
     if category is not None:
         df = df.filter(F.col("category") == F.lit(category))
     return df
