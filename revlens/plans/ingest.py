@@ -43,15 +43,14 @@ def ingest_dumps(spark: SparkSession, path: str, out: str, category: str | None
     """
     parsed = parse_dumps(spark, path, category, line_sep)
     obs = Observation("ingest")
-    observed = parsed.observe(
-        obs,
+    metrics = [
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("raw_price").isNotNull() & (F.col("raw_price") != UNKNOWN_PRICE)
                    & F.col("price").isNull()).alias("bad_price"),
         F.count_if(F.col("raw_rating").isNotNull() & F.col("rating").isNull()).alias("bad_rating"),
         F.count_if(F.col("raw_review_time").isNotNull() & F.col("review_time").isNull()).alias("bad_review_time"),
-    ).drop("raw_price", "raw_rating", "raw_review_time")
-    write_review_table(observed, out)
+    ]
+    write_review_table(parsed, out, observation=obs, metrics=metrics)
     if csv_out is not None:
         write_csv(spark.read.parquet(out).drop("review_id"), csv_out)
     return dict(obs.get)

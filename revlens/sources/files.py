@@ -43,22 +43,24 @@ def conform(df: DataFrame, with_stored: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
-def write_review_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_review_table(df: DataFrame, path: str, mode: str = "overwrite", observation=None,
+                       metrics=()) -> None:
     """Store reviews as parquet partitioned by ``category``.
 
     Range-partitioning on (category, product_id, review_id) keeps each
     category in few files per task, splits a hot category - or a single hot
     product - over several tasks, and sorts ``product_id`` inside files so
-    product look-ups skip row groups.
+    product look-ups skip row groups.  An ``observation`` (with its
+    ``metrics``) is attached after the shuffle, so the sampling pass of the
+    range partitioner does not count rows twice.
     """
-    (
-        conform(df)
-        .repartitionByRange("category", "product_id", "review_id")
+    laid = (
+        df.repartitionByRange("category", "product_id", "review_id")
         .sortWithinPartitions("category", "product_id", "review_time")
-        .write.mode(mode)
-        .partitionBy("category")
-        .parquet(path)
     )
+    if observation is not None:
+        laid = laid.observe(observation, *metrics)
+    conform(laid).write.mode(mode).partitionBy("category").parquet(path)
 
 
 def empty_reviews(spark: SparkSession) -> DataFrame:

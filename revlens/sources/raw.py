@@ -34,23 +34,26 @@ RAW_KEYS = {
     "review_text": "review/text:",
 }
 
-# Characters a line strip removes (Python ``str.strip`` whitespace).
+# The characters a line strip removes (Python ``str.strip``
+# whitespace), as a literal set and as a regular-expression class.
+_WS_CHARS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+             "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _WS = "[\\s\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 _RECORD_BREAK = "\\n" + _WS + "*\\n"
+# (?d): only \n ends a line; (?m): ^ and $ per line
+_ANY_KEY = "(?dm)^" + _WS + "*(?:" + "|".join("\\Q" + k + "\\E" for k in RAW_KEYS.values()) + ")"
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
+    return F.btrim(c, F.lit(_WS_CHARS))
 
 
 def _raw_value(block: Column, key: str) -> Column:
     """Text after ``key`` on the last line starting with it, up to a repeat of the key."""
-    # (?d): only \n ends a line; (?m): ^ and $ per line
     pattern = "(?dm)^" + _WS + "*\\Q" + key + "\\E(.*)$"
-    hits = F.regexp_extract_all(block, F.lit(pattern), 1)
-    last = F.element_at(hits, -1)
-    head = F.element_at(F.split(last, "\\Q" + key + "\\E"), 1)
-    return F.when(F.size(hits) > 0, _strip(head))
+    # last match wins; no match (key absent) gives null
+    last = F.try_element_at(F.regexp_extract_all(block, F.lit(pattern), 1), F.lit(-1))
+    return _strip(F.substring_index(last, key, 1))
 
 
 def read_raw_blocks(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFrame:
@@ -75,27 +78,29 @@ def parse_blocks(blocks: DataFrame, block_col: str = "block", keep_raw: bool = F
     :func:`count_rejects` can report them.
     """
     b = F.col(block_col)
-    raw = {c: _raw_value(b, k) for c, k in RAW_KEYS.items()}
-    any_key = F.lit(False)
-    for c in REVIEW_COLUMNS:
-        any_key = any_key | raw[c].isNotNull()
+    extra = [c for c in blocks.columns if c != block_col]
+    # a cheap test first (one pass over the block), then each key extracted
+    # once into its own column; typing reads those columns
+    raw = blocks.filter(b.rlike(_ANY_KEY)).select(
+        *[_raw_value(b, k).alias("raw_" + c) for c, k in RAW_KEYS.items()], *extra
+    )
+    r = {c: F.col("raw_" + c) for c in RAW_KEYS}
     typed = [
-        raw["product_id"].alias("product_id"),
-        raw["title"].alias("title"),
-        parse_price(raw["price"]).alias("price"),
-        raw["user_id"].alias("user_id"),
-        strip_quotes(raw["user_name"]).alias("user_name"),
-        raw["helpfulness"].alias("helpfulness"),
-        parse_float(raw["rating"]).alias("rating"),
-        parse_epoch(raw["review_time"]).alias("review_time"),
-        raw["review_summary"].alias("review_summary"),
-        raw["review_text"].alias("review_text"),
+        r["product_id"].alias("product_id"),
+        r["title"].alias("title"),
+        parse_price(r["price"]).alias("price"),
+        r["user_id"].alias("user_id"),
+        strip_quotes(r["user_name"]).alias("user_name"),
+        r["helpfulness"].alias("helpfulness"),
+        parse_float(r["rating"]).alias("rating"),
+        parse_epoch(r["review_time"]).alias("review_time"),
+        r["review_summary"].alias("review_summary"),
+        r["review_text"].alias("review_text"),
     ]
-    extra = [c for c in blocks.columns if c != block_col]
     cols = typed + [F.col(c) for c in extra]
     if keep_raw:
-        cols += [raw["price"].alias("raw_price"), raw["rating"].alias("raw_rating"), raw["review_time"].alias("raw_review_time")]
-    return blocks.filter(any_key).select(*cols)
+        cols += [F.col("raw_price"), F.col("raw_rating"), F.col("raw_review_time")]
+    return raw.select(*cols)
 
 
 def count_rejects(parsed_raw: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def test_dense_index_equals_string_indexer(spark, clean):
 def test_dense_index_ties_and_many_partitions(spark):
     data = [("b",), ("a",), ("c",), ("c",), ("d",), ("d",), ("e",)] * 3
     df = spark.createDataFrame(data, "k string").repartition(5)
-    got = [(r.k, r.k_index, r.count) for r in dense_index(df, "k", "k_index").orderBy("k_index").collect()]
+    got = [(r["k"], r["k_index"], r["count"]) for r in dense_index(df, "k", "k_index").orderBy("k_index").collect()]
     assert got == [("c", 0, 6), ("d", 1, 6), ("a", 2, 3), ("b", 3, 3), ("e", 4, 3)]
 
 
