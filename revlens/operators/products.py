@@ -102,7 +102,7 @@ def product_reviews(df: DataFrame) -> DataFrame:
 
 
 def latest_reviews(df: DataFrame, k: int = 3, keys: Sequence[str] = ("product_id",)) -> DataFrame:
-    """O4 for every key: the ``k`` newest reviews.
+    """O4 (per product) / O5 (per category) for every key: the ``k`` newest reviews.
 
     ``row_number() <= k`` is planned with a partial WindowGroupLimit before
     the shuffle, so a hot product sends at most k rows per map task.

@@ -158,6 +158,17 @@ select product_id, review_text,
                             else review_text end, ''), 'No review available') as preview
 from (select product_id, arg_min(review_text, review_id) as review_text from clean group by product_id) t""")
 
+def q_latest_category_reviews(spark, sf_dir):
+    """O5 for every category: the ten newest reviews (six display columns + date)."""
+    return products.latest_reviews(clean_table(spark, sf_dir), k=10, keys=("category",))
+
+
+sql_latest_category_reviews = with_reviews(f"""
+select category, user_name, rating, review_summary, review_time, review_id, position,
+       {_sql_display('review_time')} as date
+from (select *, row_number() over (partition by category order by review_time desc, review_id) as position
+      from clean) t where position <= 10""")
+
 # ---- users -----------------------------------------------------------------------
 
 
@@ -444,6 +455,20 @@ sql_raw_roundtrip = with_reviews(
     "review_summary, review_text, category from reviews")
 
 
+def q_raw_ingest_report(spark, sf_dir):
+    """Record and reject counts of parsing the raw form of every review."""
+    src = stored_reviews(spark, sf_dir)
+    path = scratch_path(spark, "raw")
+    src.select(raw.raw_block().alias("value"), "category").write.partitionBy("category").option(
+        "lineSep", "\n\n").text(path)
+    return raw.count_rejects(raw.parse_blocks(raw.read_raw_blocks(spark, path), keep_raw=True))
+
+
+sql_raw_ingest_report = with_reviews("""
+select count(*) as records, cast(0 as bigint) as bad_price, cast(0 as bigint) as bad_rating,
+       cast(0 as bigint) as bad_review_time from reviews""")
+
+
 def q_csv_roundtrip(spark, sf_dir):
     """S3 + S5: cleaned reviews through the CSV interchange format and back."""
     clean = clean_table(spark, sf_dir)
@@ -644,6 +669,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "product_reviews": (q_product_reviews, sql_product_reviews),
     "latest_reviews": (q_latest_reviews, sql_latest_reviews),
     "representative_review": (q_representative_review, sql_representative_review),
+    "latest_category_reviews": (q_latest_category_reviews, sql_latest_category_reviews),
     "user_summary": (q_user_summary, sql_user_summary),
     "user_history": (q_user_history, sql_user_history),
     "review_detail": (q_review_detail, sql_review_detail),
@@ -665,6 +691,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "similar_products": (q_similar_products, sql_similar_products),
     "clean_reviews": (q_clean_reviews, sql_clean_reviews),
     "raw_roundtrip": (q_raw_roundtrip, sql_raw_roundtrip),
+    "raw_ingest_report": (q_raw_ingest_report, sql_raw_ingest_report),
     "csv_roundtrip": (q_csv_roundtrip, sql_csv_roundtrip),
     "export_sample": (q_export_sample, sql_export_sample),
     "price_corrections": (q_price_corrections, sql_price_corrections),
