@@ -64,13 +64,20 @@ class Indexed:
 
 
 def index_interactions(df: DataFrame, min_interactions: int = MIN_INTERACTIONS) -> Indexed:
-    """P5 + P9 + M1 + M2 + F17: filtered interactions with integer user / product ids."""
-    rows = interactions(activity_filter(df, min_interactions))
+    """P5 + P9 + M1 + M2 + F17: filtered interactions with integer user / product ids.
+
+    The filtered interactions and the indexed rows are each checkpointed once
+    (three and five narrow columns): both indexes, the split and the model
+    fit then read files instead of re-running the activity filter, and the
+    lineage the iterative fit depends on is cut.
+    """
+    shared_dir(df.sparkSession)
+    rows = interactions(activity_filter(df, min_interactions)).checkpoint(eager=True)
     users = dense_index(rows, "user_id", "user_index")
     products = dense_index(rows, "product_id", "product_index")
     indexed = rows.join(users.select("user_id", "user_index"), "user_id").join(
         products.select("product_id", "product_index"), "product_id"
-    )
+    ).checkpoint(eager=True)
     return Indexed(indexed, users, products)
 
 
@@ -136,29 +143,26 @@ def user_lookup(indexed: Indexed, clean: DataFrame) -> DataFrame:
     return indexed.users.select("user_id", "user_index").join(user_dimension(clean), "user_id")
 
 
-def recommendation_table(fitted: Fitted, clean: DataFrame, k: int = TOP_K, order: str = "score",
-                         exclude_seen: bool = False) -> DataFrame:
+def recommendation_table(fitted: Fitted, clean: DataFrame, k: int = TOP_K, order: str = "score") -> DataFrame:
     """M7 + J7 + M9 (+O7): top-k products of every known user with their attributes.
 
     ``order="score"``: predicted rating descending (app); ``order="price"``:
     price ascending then predicted rating descending (variant app).  As in
-    the reference, already-reviewed products stay unless ``exclude_seen``.
+    the reference, already-reviewed products stay in the list.
     Recommendations without a product row are dropped (inner join).
     """
     model = fitted.model
-    recs = model.recommendForAllUsers(k * 2 if exclude_seen else k)
+    recs = model.recommendForAllUsers(k)
     flat = recs.select("user_index", F.posexplode("recommendations").alias("pos", "rec")).select(
         "user_index", "rec.product_index", F.col("rec.rating").alias("predicted_rating")
     )
     flat = flat.join(fitted.indexed.users.select("user_index", "user_id"), "user_index")
     flat = flat.join(product_lookup(fitted.indexed, clean), "product_index")
-    if exclude_seen:
-        flat = flat.join(fitted.indexed.rows.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
     if order == "price":
         w_order = [F.asc_nulls_last("price"), F.desc("predicted_rating"), F.asc("product_id")]
     else:
         w_order = [F.desc("predicted_rating"), F.asc("product_id")]
-    # groups are at most k (or 2k) rows per user
+    # groups are at most k rows per user
     w = Window.partitionBy("user_id").orderBy(*w_order)
     out = flat.select("user_id", "product_id", "title", "price", "predicted_rating",
                       F.row_number().over(w).alias("position"))
