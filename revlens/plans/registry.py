@@ -144,7 +144,7 @@ def q_latest_reviews(spark, sf_dir):
 sql_latest_reviews = with_reviews(f"""
 select product_id, user_name, rating, review_summary, review_time, review_id, position,
        {_sql_display('review_time')} as date
-from (select *, row_number() over (partition by product_id order by review_time desc, review_id) as position
+from (select *, cast(row_number() over (partition by product_id order by review_time desc, review_id) as integer) as position
       from clean) t where position <= 3""")
 
 
@@ -166,7 +166,7 @@ def q_latest_category_reviews(spark, sf_dir):
 sql_latest_category_reviews = with_reviews(f"""
 select category, user_name, rating, review_summary, review_time, review_id, position,
        {_sql_display('review_time')} as date
-from (select *, row_number() over (partition by category order by review_time desc, review_id) as position
+from (select *, cast(row_number() over (partition by category order by review_time desc, review_id) as integer) as position
       from clean) t where position <= 10""")
 
 # ---- users -----------------------------------------------------------------------
@@ -638,7 +638,7 @@ def q_cold_start_fallback(spark, sf_dir):
 sql_cold_start_fallback = _with_more(_SQL_ACTIVE, f""",
 pop as (select product_id, title, avg(rating) as a from clean group by product_id, title having count(rating) >= 10
         order by a desc, product_id, title limit 10),
-popn as (select *, row_number() over (order by a desc, product_id, title) as position from pop),
+popn as (select *, cast(row_number() over (order by a desc, product_id, title) as integer) as position from pop),
 known as (select distinct user_id from active where {_SQL_SPLIT})
 select u.user_id, p.position, p.product_id, p.title, round(p.a, 4) as avg_rating
 from (select distinct user_id from clean where user_id not in (select user_id from known)) u, popn p""")
