@@ -216,3 +216,27 @@ def save_model(model: ALSModel, path: str) -> None:
 def load_model(path: str) -> ALSModel:
     """Load a model written by :func:`save_model`."""
     return ALSModel.load(path)
+
+
+def fit_or_load(clean: DataFrame, model_root: str, category: str, **fit_args) -> Fitted:
+    """One model per category, fitted once and reused by later requests.
+
+    The model lives under ``model_root/category=<name>``; the indexes are
+    rebuilt from the clean table (they are deterministic), so a loaded model
+    and its look-ups always agree.  Unlike the reference's cache, the key
+    includes the category.
+    """
+    from revlens.sources.files import path_exists
+
+    spark = clean.sparkSession
+    path = f"{model_root.rstrip('/')}/category={category}"
+    rows = clean.filter(F.col("category") == F.lit(category))
+    if path_exists(spark, path + "/metadata"):
+        min_i = fit_args.get("min_interactions", MIN_INTERACTIONS)
+        pct = fit_args.get("train_percent", SPLIT_TRAIN_PERCENT)
+        idx = index_interactions(rows, min_i)
+        train, test = train_test(idx.rows, train_percent=pct)
+        return Fitted(load_model(path), idx, train, test)
+    fitted = fit_recommender(rows, **fit_args)
+    save_model(fitted.model, path)
+    return fitted

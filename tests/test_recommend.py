@@ -109,3 +109,13 @@ def test_model_round_trip(fitted, tmp_dir):
     recommend.save_model(fitted.model, tmp_dir + "/m")
     again = recommend.load_model(tmp_dir + "/m")
     assert again.rank == fitted.model.rank
+
+
+def test_fit_or_load_per_category(spark, clean, tmp_dir):
+    cat = clean.groupBy("category").count().orderBy(F.desc("count"), "category").first().category
+    first = recommend.fit_or_load(clean, tmp_dir, cat, max_iter=3)
+    again = recommend.fit_or_load(clean, tmp_dir, cat, max_iter=3)
+    a = first.model.userFactors.orderBy("id").collect()
+    b = again.model.userFactors.orderBy("id").collect()
+    assert [r.id for r in a] == [r.id for r in b]
+    assert a[0].features == b[0].features
