@@ -644,18 +644,31 @@ select u.user_id, p.position, p.product_id, p.title, round(p.a, 4) as avg_rating
 from (select distinct user_id from clean where user_id not in (select user_id from known)) u, popn p""")
 
 
+_FITTED: dict[tuple[str, str], recommend.Fitted] = {}
+
+
+def _fitted(spark, sf_dir) -> recommend.Fitted:
+    """One model fit per session and data set, shared by the model queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = recommend.fit_recommender(clean_table(spark, sf_dir))
+    return _FITTED[key]
+
+
 def q_als_recommendations(spark, sf_dir):
     """M4 + M7 + J7 + M9: top-10 of every user known to the model (no SQL form)."""
-    clean = clean_table(spark, sf_dir)
-    fitted = recommend.fit_recommender(clean)
-    return recommend.recommendation_table(fitted, clean)
+    return recommend.recommendation_table(_fitted(spark, sf_dir), clean_table(spark, sf_dir))
+
+
+def q_als_recommendations_by_price(spark, sf_dir):
+    """O7 + P21: the variant ordering (price ascending, then predicted rating), score column dropped."""
+    recs = recommend.recommendation_table(_fitted(spark, sf_dir), clean_table(spark, sf_dir), order="price")
+    return recs.drop("predicted_rating")
 
 
 def q_als_metrics(spark, sf_dir):
     """M6 + M10 + M11 on the hold-out split (no SQL form: the model is iterative)."""
-    clean = clean_table(spark, sf_dir)
-    fitted = recommend.fit_recommender(clean)
-    return evaluate.quality_metrics(recommend.predictions(fitted))
+    return evaluate.quality_metrics(recommend.predictions(_fitted(spark, sf_dir)))
 
 
 # name -> (spark query, oracle SQL or None)
@@ -705,5 +718,6 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "user_lookup": (q_user_lookup, sql_user_lookup),
     "cold_start_fallback": (q_cold_start_fallback, sql_cold_start_fallback),
     "als_recommendations": (q_als_recommendations, None),
+    "als_recommendations_by_price": (q_als_recommendations_by_price, None),
     "als_metrics": (q_als_metrics, None),
 }
