@@ -190,18 +190,9 @@ def fallback_for_unknown(users: DataFrame, known_users: DataFrame, clean: DataFr
     ``users`` minus ``known_users`` (left-anti), each paired with the <= k
     popular products via a scalar subquery - no join against the list.
     """
-    top = popular_products(clean, k=k)
-    ranked = top.select(
-        F.struct(
-            F.col("avg_rating"), F.col("product_id"), F.col("title"), F.col("avg_price"), F.col("n_reviews")
-        ).alias("s")
-    )
-    ordered = ranked.agg(
-        F.sort_array(F.collect_list(F.struct(
-            (-F.col("s.avg_rating")).alias("k1"), F.col("s.product_id").alias("product_id"),
-            F.col("s.title").alias("title"), F.col("s.avg_rating").alias("avg_rating"),
-        ))).alias("a")
-    ).scalar()
+    # at most k rows; sorted as the ranking (average desc, then id, title)
+    entry = F.struct((-F.col("avg_rating")).alias("key"), "product_id", "title", "avg_rating")
+    ordered = popular_products(clean, k=k).agg(F.sort_array(F.collect_list(entry))).scalar()
     unknown = users.select("user_id").distinct().join(known_users.select("user_id"), "user_id", "left_anti")
     return unknown.select(
         "user_id", F.posexplode(ordered).alias("pos", "p")
