@@ -44,20 +44,26 @@ def conform(df: DataFrame, with_stored: bool = True) -> DataFrame:
 
 
 def write_review_table(df: DataFrame, path: str, mode: str = "overwrite", observation=None,
-                       metrics=()) -> None:
+                       metrics=(), cluster: bool = False) -> None:
     """Store reviews as parquet partitioned by ``category``.
 
-    Range-partitioning on (category, product_id, review_id) keeps each
-    category in few files per task, splits a hot category - or a single hot
-    product - over several tasks, and sorts ``product_id`` inside files so
-    product look-ups skip row groups.  An ``observation`` (with its
-    ``metrics``) is attached after the shuffle, so the sampling pass of the
-    range partitioner does not count rows twice.
+    Default: no shuffle.  Each task sorts its rows by (category, product_id,
+    review_time) and writes one file per category it holds, so the write is
+    a single pass over the input, a hot category or product is spread over
+    the tasks that read it, and every file has sorted ``product_id`` row
+    groups that product look-ups skip by their statistics.
+
+    ``cluster=True`` range-partitions on (category, product_id, review_id)
+    first: fewer, product-clustered files, at the price of a full shuffle
+    and of the range partitioner's extra sampling pass over the input.
+
+    An ``observation`` (with its ``metrics``) is attached right before the
+    write, so no sampling pass counts rows twice.
     """
-    laid = (
-        df.repartitionByRange("category", "product_id", "review_id")
-        .sortWithinPartitions("category", "product_id", "review_time")
-    )
+    laid = df
+    if cluster:
+        laid = laid.repartitionByRange("category", "product_id", "review_id")
+    laid = laid.sortWithinPartitions("category", "product_id", "review_time")
     if observation is not None:
         laid = laid.observe(observation, *metrics)
     conform(laid).write.mode(mode).partitionBy("category").parquet(path)

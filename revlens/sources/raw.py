@@ -4,9 +4,10 @@ Reading: the text source splits files on ``\\n\\n`` (Hadoop's delimited line
 reader, so large files split across tasks and records crossing a split
 boundary are handled by the reader).  Inside each chunk, line breaks are
 normalised and the chunk is split again on whitespace-only lines, so runs of
-blank lines and blank-looking separators give no empty record.  Each key is
-then pulled out with one regular expression; when a key repeats, the last
-line wins.  Everything is one narrow stage - no shuffle.
+blank lines and blank-looking separators give no empty record.  One regular
+expression pass per block collects the lines that start with a known key;
+each column then takes the last of its lines (a repeated key: last wins).
+Everything is one narrow stage - no shuffle.
 
 A CRLF file has no ``\\n\\n``; pass ``line_sep="\\r\\n\\r\\n"`` for it.
 """
@@ -40,20 +41,21 @@ _WS_CHARS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2
              "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _WS = "[\\s\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 _RECORD_BREAK = "\\n" + _WS + "*\\n"
-# (?d): only \n ends a line; (?m): ^ and $ per line
-_ANY_KEY = "(?dm)^" + _WS + "*(?:" + "|".join("\\Q" + k + "\\E" for k in RAW_KEYS.values()) + ")"
+# (?d): only \n ends a line; (?m): ^ and $ per line.  One pass collects every
+# line that starts (after blanks) with a known key, blanks removed; no key is
+# a prefix of another, so each collected line belongs to exactly one key.
+_KEY_LINES = ("(?dm)^" + _WS + "*((?:" + "|".join("\\Q" + k + "\\E" for k in RAW_KEYS.values()) + ").*)$")
 
 
 def _strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_WS_CHARS))
 
 
-def _raw_value(block: Column, key: str) -> Column:
+def _raw_value(key_lines: Column, key: str) -> Column:
     """Text after ``key`` on the last line starting with it, up to a repeat of the key."""
-    pattern = "(?dm)^" + _WS + "*\\Q" + key + "\\E(.*)$"
-    # last match wins; no match (key absent) gives null
-    last = F.try_element_at(F.regexp_extract_all(block, F.lit(pattern), 1), F.lit(-1))
-    return _strip(F.substring_index(last, key, 1))
+    # last line wins; no line (key absent) gives null
+    last = F.try_element_at(F.filter(key_lines, lambda line: line.startswith(key)), F.lit(-1))
+    return _strip(F.substring_index(F.substring(last, len(key) + 1, 1 << 30), key, 1))
 
 
 def read_raw_blocks(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFrame:
@@ -77,12 +79,14 @@ def parse_blocks(blocks: DataFrame, block_col: str = "block", keep_raw: bool = F
     ``keep_raw=True`` keeps their text in ``raw_*`` columns so that
     :func:`count_rejects` can report them.
     """
-    b = F.col(block_col)
     extra = [c for c in blocks.columns if c != block_col]
-    # a cheap test first (one pass over the block), then each key extracted
-    # once into its own column; typing reads those columns
-    raw = blocks.filter(b.rlike(_ANY_KEY)).select(
-        *[_raw_value(b, k).alias("raw_" + c) for c, k in RAW_KEYS.items()], *extra
+    # one regex pass per block; a block without any key line is no record.  The
+    # key lines come out of a one-row generator so that the emptiness filter
+    # stays above it instead of re-running the regex inside the filter.
+    found = F.struct(F.regexp_extract_all(F.col(block_col), F.lit(_KEY_LINES), 1).alias("_lines"), *extra)
+    lines = blocks.select(F.inline(F.array(found)))
+    raw = lines.filter(F.size("_lines") > 0).select(
+        *[_raw_value(F.col("_lines"), k).alias("raw_" + c) for c, k in RAW_KEYS.items()], *extra
     )
     r = {c: F.col("raw_" + c) for c in RAW_KEYS}
     typed = [
