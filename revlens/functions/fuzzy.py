@@ -27,10 +27,17 @@ function of its inputs.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The scoring helper runs in executor Python workers, which need not have this
+# package installed: ship this module's functions with the UDF, by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Characters removed before matching, the non-word pattern, and
 # the default threshold a similar title must exceed.
 DROPPED_CHARS = "[\\x{80}-\\x{FF}]"
