@@ -132,3 +132,31 @@ def similar_product_stats(df: DataFrame, product_ids: DataFrame, k: int = 10) ->
     """
     ids = product_ids.select("product_id").distinct()
     return _top(product_stats(df.join(ids, "product_id", "left_semi")), F.desc("avg_rating"), k)
+
+
+def top_per_group(stats: DataFrame, group: Sequence[str], first: Column, k: int = 10) -> DataFrame:
+    """A ranking for every group at once (e.g. A1/A2/A3 per category).
+
+    ``row_number() <= k`` over each group: Spark limits each map task to k
+    rows per group before the shuffle (WindowGroupLimit), so a hot category
+    costs no more than a small one.
+    """
+    w = Window.partitionBy(*group).orderBy(first, F.asc("product_id"), F.asc_nulls_first("title"))
+    return stats.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= k)
+
+
+def popular_products_by(df: DataFrame, group: Sequence[str] = ("category",), min_reviews: int = 10,
+                        k: int = 10) -> DataFrame:
+    """A1 for every category: the popular list each category page shows."""
+    stats = product_stats(df, keys=(*group, *PRODUCT_KEYS)).filter(F.col("n_reviews") >= min_reviews)
+    return top_per_group(stats, group, F.desc("avg_rating"), k)
+
+
+def top_rated_by(df: DataFrame, group: Sequence[str] = ("category",), k: int = 10) -> DataFrame:
+    """A2 for every category."""
+    return top_per_group(product_stats(df, keys=(*group, *PRODUCT_KEYS)), group, F.desc("avg_rating"), k)
+
+
+def most_reviewed_by(df: DataFrame, group: Sequence[str] = ("category",), k: int = 10) -> DataFrame:
+    """A3 core for every category (apply to a period filter for trending)."""
+    return top_per_group(product_stats(df, keys=(*group, *PRODUCT_KEYS)), group, F.desc("n_reviews"), k)

@@ -82,3 +82,17 @@ def size_distribution(df: DataFrame) -> DataFrame:
             )
         )
     )
+
+
+def rating_histogram_by(df: DataFrame, key: str = "category") -> DataFrame:
+    """A15 + J5 for every category: five rows per category, zeros included.
+
+    The spine is generated per category (explode of the five ratings over the
+    distinct categories), not a cross join; counts are one aggregate.
+    """
+    spine = df.select(key).distinct().select(
+        key, F.explode(F.array(*[F.lit(float(r)).cast("float") for r in range(1, 6)])).alias("rating"))
+    counts = df.filter(F.col("rating").isin([1.0, 2.0, 3.0, 4.0, 5.0])).groupBy(key, "rating").agg(
+        F.count(F.lit(1)).alias("count"))
+    return spine.join(counts, [key, "rating"], "left").select(
+        key, "rating", F.coalesce("count", F.lit(0)).alias("count"), rating_label("rating").alias("rating_label"))

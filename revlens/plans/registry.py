@@ -169,6 +169,58 @@ select category, user_name, rating, review_summary, review_time, review_id, posi
 from (select *, cast(row_number() over (partition by category order by review_time desc, review_id) as integer) as position
       from clean) t where position <= 10""")
 
+def _by_cat_cols():
+    return ["category", "product_id", "title", "n_reviews", _r("avg_rating"), _r("avg_price"), "position"]
+
+
+def q_popular_by_category(spark, sf_dir):
+    """A1 per category (the popular list of every category page)."""
+    return products.popular_products_by(clean_table(spark, sf_dir)).select(*_by_cat_cols())
+
+
+_SQL_BY_CAT = """
+select category, product_id, title, n_reviews, round(a, 4) as avg_rating, round(p, 4) as avg_price, position
+from (select *, cast(row_number() over (partition by category order by {order}, product_id, title) as integer)
+             as position
+      from (select category, product_id, title, count(rating) as n_reviews, avg(rating) as a, avg(price) as p
+            from {src} group by category, product_id, title {having}) s) t
+where position <= 10"""
+
+sql_popular_by_category = with_reviews(_SQL_BY_CAT.format(order="a desc", src="clean",
+                                                          having="having count(rating) >= 10"))
+
+
+def q_top_rated_by_category(spark, sf_dir):
+    """A2 per category."""
+    return products.top_rated_by(clean_table(spark, sf_dir)).select(*_by_cat_cols())
+
+
+sql_top_rated_by_category = with_reviews(_SQL_BY_CAT.format(order="a desc", src="clean", having=""))
+
+
+def q_trending_by_category(spark, sf_dir):
+    """A3 per category over the analysis period."""
+    period = timeline.in_range(clean_table(spark, sf_dir), PERIOD_START, PERIOD_END)
+    return products.most_reviewed_by(period).select(*_by_cat_cols())
+
+
+sql_trending_by_category = with_reviews(_SQL_BY_CAT.format(
+    order="n_reviews desc", src=f"(select * from clean where {_PERIOD})", having=""))
+
+
+def q_rating_histogram_by_category(spark, sf_dir):
+    """A15 + J5 per category."""
+    return summary.rating_histogram_by(clean_table(spark, sf_dir))
+
+
+sql_rating_histogram_by_category = with_reviews("""
+select c.category, cast(s.r as float) as rating, coalesce(n.cnt, 0) as count,
+       concat(cast(s.r as varchar), ' ⭐') as rating_label
+from (select distinct category from clean) c cross join range(1, 6) as s(r)
+left join (select category, rating, count(*) as cnt from clean group by category, rating) n
+  on n.category = c.category and n.rating = cast(s.r as float)""")
+
+
 # ---- users -----------------------------------------------------------------------
 
 
@@ -676,6 +728,9 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "popular_products": (q_popular_products, sql_popular_products),
     "top_rated": (q_top_rated, sql_top_rated),
     "trending_products": (q_trending_products, sql_trending_products),
+    "popular_by_category": (q_popular_by_category, sql_popular_by_category),
+    "top_rated_by_category": (q_top_rated_by_category, sql_top_rated_by_category),
+    "trending_by_category": (q_trending_by_category, sql_trending_by_category),
     "product_summary": (q_product_summary, sql_product_summary),
     "product_catalog": (q_product_catalog, sql_product_catalog),
     "product_dimension": (q_product_dimension, sql_product_dimension),
@@ -697,6 +752,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "category_overview": (q_category_overview, sql_category_overview),
     "overview": (q_overview, sql_overview),
     "rating_histogram": (q_rating_histogram, sql_rating_histogram),
+    "rating_histogram_by_category": (q_rating_histogram_by_category, sql_rating_histogram_by_category),
     "database_summary": (q_database_summary, sql_database_summary),
     "size_distribution": (q_size_distribution, sql_size_distribution),
     "product_search": (q_product_search, sql_product_search),
