@@ -22,14 +22,16 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def daily_activity(df: DataFrame) -> DataFrame:
-    """A16 (+O6): reviews per day, ascending; only days that have reviews."""
-    return df.groupBy(epoch_to_date("review_time").alias("date")).agg(F.count(F.lit(1)).alias("count")).orderBy("date")
+def daily_activity(df: DataFrame, keys=()) -> DataFrame:
+    """A16 (+O6): reviews per day, ascending; only days that have reviews (per ``keys``)."""
+    day = epoch_to_date("review_time").alias("date")
+    return df.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("count")).orderBy(*keys, "date")
 
 
-def yearly_activity(df: DataFrame) -> DataFrame:
-    """A17 (+O6): reviews per year, ascending."""
-    return df.groupBy(epoch_to_year("review_time").alias("year")).agg(F.count(F.lit(1)).alias("count")).orderBy("year")
+def yearly_activity(df: DataFrame, keys=()) -> DataFrame:
+    """A17 (+O6): reviews per year, ascending (per ``keys``)."""
+    year = epoch_to_year("review_time").alias("year")
+    return df.groupBy(*keys, year).agg(F.count(F.lit(1)).alias("count")).orderBy(*keys, "year")
 
 
 def trending_products(df: DataFrame, start, end, k: int = 10, whole_end_day: bool = False) -> DataFrame:

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from revlens.functions.dates import display_date
 
 
-def user_summary(df: DataFrame) -> DataFrame:
-    """A4 for all users in one aggregate: reviews, average rating (0 when none), last review."""
-    return df.groupBy("user_id").agg(
+def user_summary(df: DataFrame, keys=("user_id",)) -> DataFrame:
+    """A4 for all users in one aggregate: reviews, average rating (0 when none), last review.
+
+    ``keys=("category", "user_id")`` gives the dashboard's per-category figures.
+    """
+    return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_reviews"),
         F.coalesce(F.avg("rating"), F.lit(0.0)).alias("avg_rating"),
         F.max("review_time").alias("last_review"),

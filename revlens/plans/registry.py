@@ -341,6 +341,40 @@ sql_period_product_rating = with_reviews(f"""
 select product_id, round(coalesce(avg(rating), 0), 4) as avg_rating, count(*) as n_reviews
 from clean where {_PERIOD} group by product_id""")
 
+def q_user_summary_by_category(spark, sf_dir):
+    """A4 per (category, user): the dashboard figures of every login."""
+    return users.user_summary(clean_table(spark, sf_dir), keys=("category", "user_id")).select(
+        "category", "user_id", "total_reviews", _r("avg_rating"), "last_review", "last_review_date")
+
+
+sql_user_summary_by_category = with_reviews(f"""
+select category, user_id, total_reviews, round(avg_rating, 4) as avg_rating, last_review,
+       {_sql_display('last_review')} as last_review_date
+from (select category, user_id, count(*) as total_reviews, coalesce(avg(rating), 0) as avg_rating,
+             max(review_time) as last_review from clean group by category, user_id) s""")
+
+
+def q_daily_activity_by_category(spark, sf_dir):
+    """A16 per category over the analysis period."""
+    period = timeline.in_range(clean_table(spark, sf_dir), PERIOD_START, PERIOD_END)
+    return timeline.daily_activity(period, keys=("category",))
+
+
+sql_daily_activity_by_category = with_reviews(f"""
+select category, {_sql_date('review_time')} as date, count(*) as count from clean where {_PERIOD}
+group by 1, 2 order by 1, 2""")
+
+
+def q_yearly_activity_by_category(spark, sf_dir):
+    """A17 per category."""
+    return timeline.yearly_activity(clean_table(spark, sf_dir), keys=("category",))
+
+
+sql_yearly_activity_by_category = with_reviews(f"""
+select category, cast(year({_sql_date('review_time')}) as integer) as year, count(*) as count from clean
+group by 1, 2 order by 1, 2""")
+
+
 # ---- table statistics ----------------------------------------------------------------
 
 
@@ -747,6 +781,9 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "user_exists": (q_user_exists, sql_user_exists),
     "daily_activity": (q_daily_activity, sql_daily_activity),
     "yearly_activity": (q_yearly_activity, sql_yearly_activity),
+    "user_summary_by_category": (q_user_summary_by_category, sql_user_summary_by_category),
+    "daily_activity_by_category": (q_daily_activity_by_category, sql_daily_activity_by_category),
+    "yearly_activity_by_category": (q_yearly_activity_by_category, sql_yearly_activity_by_category),
     "period_overview": (q_period_overview, sql_period_overview),
     "period_product_rating": (q_period_product_rating, sql_period_product_rating),
     "category_overview": (q_category_overview, sql_category_overview),
