@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.dates import day_start_epoch
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
-from revlens.operators import evaluate, products, recommend, search, summary, timeline, upsert, users
+from revlens.operators import content, evaluate, products, recommend, search, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.plans.tables import clean_table, stored_reviews
@@ -515,6 +515,45 @@ sql_similar_products = _with_more(
 from clean where product_id in (select product_id from scored where score > {SIMILARITY_THRESHOLD})
 group by product_id, title order by avg(rating) desc, product_id, title limit 10""")
 
+def _anchor_product(clean: DataFrame) -> str:
+    """Id of the most-reviewed product (ties: smallest id) - one value."""
+    row = products.product_stats(clean).orderBy(F.desc("n_reviews"), "product_id", "title").select(
+        "product_id").first()
+    return row[0] if row else ""
+
+
+def q_content_similar(spark, sf_dir):
+    """The ten products closest in TF-IDF cosine to the anchor product."""
+    clean = clean_table(spark, sf_dir)
+    return content.similar_by_content(clean, _anchor_product(clean)).select(
+        "product_id", _r("cosine", 6), "position")
+
+
+sql_content_similar = _with_more("""
+anchor_p as (select product_id from (select product_id, title, count(rating) as n from clean
+             group by product_id, title) s order by n desc, product_id, title limit 1),
+toks as (select product_id, unnest(regexp_split_to_array(lower(title), '[^\\p{L}\\p{N}]+')) as term
+         from (select distinct product_id, title from clean) t
+         union all
+         select product_id, unnest(regexp_split_to_array(lower(review_text), '[^\\p{L}\\p{N}]+')) as term
+         from clean),
+tf as (select product_id, term, count(*) as tf from toks where term <> '' group by 1, 2),
+nq as (select count(distinct product_id) as n from clean),
+dfq as (select term, count(*) as df from tf group by term),
+w as (select tf.product_id, tf.term, tf.tf * ln(((select n from nq) + 1.0) / (dfq.df + 1.0)) as w
+      from tf join dfq using (term)),
+norms as (select product_id, sqrt(sum(w * w)) as norm from w group by 1),
+a as (select term, w as wa from w where product_id = (select product_id from anchor_p)),
+an as (select sqrt(sum(wa * wa)) as an from a),
+dot as (select w.product_id, sum(w.w * a.wa) as dot from w join a using (term)
+        where w.product_id <> (select product_id from anchor_p) group by 1),
+cs as (select dot.product_id, dot.dot / nullif(norms.norm * (select an from an), 0) as c
+       from dot join norms using (product_id)),
+ranked as (select product_id, c, cast(row_number() over (order by round(c, 9) desc, product_id) as integer)
+                  as position from cs where c is not null)""",
+"select product_id, round(c, 6) as cosine, position from ranked where position <= 10")
+
+
 # ---- ingest, files, exports --------------------------------------------------------
 
 
@@ -795,6 +834,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "product_search": (q_product_search, sql_product_search),
     "similar_titles": (q_similar_titles, sql_similar_titles),
     "similar_products": (q_similar_products, sql_similar_products),
+    "content_similar": (q_content_similar, sql_content_similar),
     "clean_reviews": (q_clean_reviews, sql_clean_reviews),
     "raw_roundtrip": (q_raw_roundtrip, sql_raw_roundtrip),
     "raw_ingest_report": (q_raw_ingest_report, sql_raw_ingest_report),

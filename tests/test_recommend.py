@@ -119,3 +119,19 @@ def test_fit_or_load_per_category(spark, clean, tmp_dir):
     b = again.model.userFactors.orderBy("id").collect()
     assert [r.id for r in a] == [r.id for r in b]
     assert a[0].features == b[0].features
+
+
+def test_content_similarity_hand_case(spark):
+    from revlens.operators.content import similar_by_content
+
+    rows = [
+        ("a", "red steel bolt", "strong bolt"),
+        ("b", "red steel bolt", "strong bolt"),  # same words as a -> cosine 1
+        ("c", "blue plastic ring", "soft ring"),  # nothing shared -> absent
+        ("d", "red ring", "bolt"),
+    ]
+    df = spark.createDataFrame(rows, "product_id string, title string, review_text string")
+    out = {r.product_id: (r.cosine, r.position) for r in similar_by_content(df, "a").collect()}
+    assert set(out) == {"b", "d"}
+    assert out["b"][0] == pytest.approx(1.0) and out["b"][1] == 1
+    assert 0 < out["d"][0] < 1 and out["d"][1] == 2
