@@ -22,6 +22,7 @@ from revlens.session import local_session  # noqa: E402
 
 HEADLINE = [
     "popular_products",
+    "popular_by_category",
     "top_rated",
     "trending_products",
     "product_summary",
@@ -34,6 +35,7 @@ HEADLINE = [
     "database_summary",
     "product_search",
     "similar_products",
+    "content_similar",
     "user_index",
     "baseline_metrics",
     "cold_start_fallback",

@@ -566,12 +566,16 @@ sql_clean_reviews = with_reviews(
     "review_summary, review_text, review_id, category from clean")
 
 
+def _raw_dump(spark, sf_dir) -> str:
+    """Every stored review rendered as a raw dump, one folder per category; returns the path."""
+    path = scratch_path(spark, "raw")
+    raw.write_raw(stored_reviews(spark, sf_dir), path, partition_by="category")
+    return path
+
+
 def q_raw_roundtrip(spark, sf_dir):
     """S1 + S2 (+F1-F6): render every review as a raw dump per category, parse it back."""
-    src = stored_reviews(spark, sf_dir)
-    path = scratch_path(spark, "raw")
-    src.select(raw.raw_block().alias("value"), "category").write.partitionBy("category").option(
-        "lineSep", "\n\n").text(path)
+    path = _raw_dump(spark, sf_dir)
     return raw.parse_blocks(raw.read_raw_blocks(spark, path).select("block", "category"))
 
 
@@ -582,10 +586,7 @@ sql_raw_roundtrip = with_reviews(
 
 def q_raw_ingest_report(spark, sf_dir):
     """Record and reject counts of parsing the raw form of every review."""
-    src = stored_reviews(spark, sf_dir)
-    path = scratch_path(spark, "raw")
-    src.select(raw.raw_block().alias("value"), "category").write.partitionBy("category").option(
-        "lineSep", "\n\n").text(path)
+    path = _raw_dump(spark, sf_dir)
     return raw.count_rejects(raw.parse_blocks(raw.read_raw_blocks(spark, path), keep_raw=True))
 
 

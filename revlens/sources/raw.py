@@ -146,6 +146,11 @@ def render_raw(df: DataFrame) -> DataFrame:
     return df.select(raw_block().alias("value"))
 
 
-def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write reviews as a raw dump (blocks separated by a blank line)."""
-    render_raw(df).write.mode(mode).option("lineSep", "\n\n").text(path)
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
+    """Write reviews as a raw dump (blocks separated by a blank line), optionally
+    one folder per value of ``partition_by`` (e.g. one dump per category)."""
+    extra = [partition_by] if partition_by else []
+    writer = df.select(raw_block().alias("value"), *extra).write.mode(mode).option("lineSep", "\n\n")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.text(path)
