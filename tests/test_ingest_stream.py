@@ -57,3 +57,23 @@ def test_streaming_ingest(spark, tmp_dir):
     stored = spark.read.parquet(out)
     assert stored.count() == 3
     assert sorted(r.category for r in stored.select("category").distinct().collect()) == ["Garden", "Tools"]
+
+
+def test_exports_write_every_row(spark, tmp_dir):
+    from revlens.operators import products, users
+    from revlens.plans.tables import clean_table
+    from tests.conftest import SF001
+
+    clean = clean_table(spark, SF001)
+    uid = clean.select("user_id").orderBy("user_id").first().user_id
+    pid = clean.select("product_id").orderBy("product_id").first().product_id
+    export.export_user_history(users.user_history(clean), uid, tmp_dir + "/s9")
+    export.export_product_reviews(products.product_reviews(clean), pid, tmp_dir + "/s11")
+    export.export_period(clean.drop("review_id"), tmp_dir + "/s14")
+    recs = spark.createDataFrame([("u", "p", 4.5)], "user_id string, product_id string, predicted_rating double")
+    export.export_recommendations(recs, tmp_dir + "/s10", with_score=False)
+    read = lambda p: spark.read.option("header", True).csv(p)
+    assert read(tmp_dir + "/s9").count() == clean.filter(clean.user_id == uid).count()
+    assert read(tmp_dir + "/s11").count() == clean.filter(clean.product_id == pid).count()
+    assert read(tmp_dir + "/s14").count() == clean.count()
+    assert read(tmp_dir + "/s10").columns == ["user_id", "product_id"]
