@@ -92,7 +92,7 @@ def make_als(rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER, reg: float = AL
     """M4: explicit-feedback, non-negative ALS; unseen ids dropped at scoring.
 
     Lineage is cut every 10 iterations through the shared checkpoint folder.
-    ``blocks`` sets the user/item block count (default: Spark's).
+    ``blocks`` sets the user/item block count (Spark's default when None).
     """
     als = ALS(
         userCol="user_index", itemCol="product_index", ratingCol="rating",
@@ -114,8 +114,14 @@ class Fitted:
 
 def fit_recommender(df: DataFrame, min_interactions: int = MIN_INTERACTIONS, train_percent: int = SPLIT_TRAIN_PERCENT,
                     **als_args) -> Fitted:
-    """M4 (or M5 with ``min_interactions=0, train_percent=100``)."""
+    """M4 (or M5 with ``min_interactions=0, train_percent=100``).
+
+    User and item blocks default to the session's parallelism (one block per
+    core), which is what keeps each ALS half-iteration one wave of tasks.
+    """
     shared_dir(df.sparkSession)
+    if not als_args.get("blocks"):
+        als_args["blocks"] = df.sparkSession.sparkContext.defaultParallelism
     idx = index_interactions(df, min_interactions)
     train, test = train_test(idx.rows, train_percent=train_percent)
     model = make_als(**als_args).fit(train)
