@@ -54,3 +54,30 @@ def ingest_dumps(spark: SparkSession, path: str, out: str, category: str | None
     if csv_out is not None:
         write_csv(spark.read.parquet(out).drop("review_id"), csv_out)
     return dict(obs.get)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m revlens.plans.ingest RAW_DIR OUT_DIR [--csv DIR] [--category NAME] [--crlf]``
+
+    Runs E1 on the session the environment configures (cluster settings come
+    from spark-submit / spark-defaults) and prints the record and reject
+    counts as one JSON line.
+    """
+    import argparse
+    import json
+
+    ap = argparse.ArgumentParser(prog="python -m revlens.plans.ingest")
+    ap.add_argument("raw_dir")
+    ap.add_argument("out_dir")
+    ap.add_argument("--csv", dest="csv_out")
+    ap.add_argument("--category")
+    ap.add_argument("--crlf", action="store_true", help="dump files use CRLF line ends")
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("revlens-ingest").getOrCreate()
+    counts = ingest_dumps(spark, args.raw_dir, args.out_dir, category=args.category,
+                          line_sep="\r\n\r\n" if args.crlf else "\n\n", csv_out=args.csv_out)
+    print(json.dumps(counts))
+
+
+if __name__ == "__main__":
+    main()

@@ -77,3 +77,20 @@ def test_exports_write_every_row(spark, tmp_dir):
     assert read(tmp_dir + "/s11").count() == clean.filter(clean.product_id == pid).count()
     assert read(tmp_dir + "/s14").count() == clean.count()
     assert read(tmp_dir + "/s10").columns == ["user_id", "product_id"]
+
+
+def test_ingest_command(tmp_dir):
+    import json
+    import subprocess
+    import sys
+
+    src = os.path.join(tmp_dir, "raw")
+    _write(src, "Tools.txt", REC_A + "\n\n" + BAD + "\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-m", "revlens.plans.ingest", src, os.path.join(tmp_dir, "store")],
+        cwd=repo, capture_output=True, text=True, timeout=300,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    counts = json.loads(out.stdout.strip().splitlines()[-1])
+    assert counts == {"records": 2, "bad_price": 1, "bad_rating": 1, "bad_review_time": 0}
