@@ -797,6 +797,14 @@ def q_als_metrics(spark, sf_dir):
     return evaluate.quality_metrics(recommend.predictions(_fitted(spark, sf_dir)))
 
 
+def q_als_variant_metrics(spark, sf_dir):
+    """M5 + M6 + M10/M11: the variant app's model - all rows, no activity filter,
+    no hold-out - scored in-sample (rows only)."""
+    clean = clean_table(spark, sf_dir)
+    fitted = recommend.fit_recommender(clean, min_interactions=0, train_percent=100)
+    return evaluate.quality_metrics(recommend.predictions(fitted, on=fitted.train))
+
+
 # name -> (spark query, oracle SQL or None)
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "popular_products": (q_popular_products, sql_popular_products),
@@ -854,4 +862,5 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "als_recommendations": (q_als_recommendations, None),
     "als_recommendations_by_price": (q_als_recommendations_by_price, None),
     "als_metrics": (q_als_metrics, None),
+    "als_variant_metrics": (q_als_variant_metrics, None),
 }
