@@ -8,7 +8,7 @@ column pruning, and single-key filters reach the parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators import products, recommend, search, summary, timeline, users
@@ -23,12 +23,15 @@ def user_dashboard(clean: DataFrame, fitted: recommend.Fitted, user_id: str, k:
     The user summary always answers from the clean table.  Recommendations
     come from the model when it knows the user, else the popular list (M8);
     the choice is a plan (``left_anti`` + union), not a driver branch.
+    ``position`` gives the display order.
     """
     mine = users.one_user(clean, user_id)
     ids = clean.sparkSession.createDataFrame([(user_id,)], "user_id string")
     model_recs = recommend.recommendations_for(fitted, clean, ids, k)
     if order == "price":
-        model_recs = model_recs.orderBy(F.asc_nulls_last("price"), F.desc("predicted_rating"), "product_id")
+        # Re-number within the user's <= k rows; the order travels in ``position``
+        w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("price"), F.desc("predicted_rating"), "product_id")
+        model_recs = model_recs.withColumn("position", F.row_number().over(w))
     fallback = recommend.fallback_for_unknown(ids, model_recs.select("user_id"), clean, k).select(
         "user_id", "position", "product_id", "title", F.lit(None).cast("float").alias("price"),
         F.lit(None).cast("float").alias("predicted_rating"),

@@ -33,7 +33,8 @@ def test_user_dashboard_known_user(clean, fitted):
 
 def test_user_dashboard_price_order(clean, fitted):
     uid = fitted.indexed.users.orderBy("user_index").first().user_id
-    recs = pages.user_dashboard(clean, fitted, uid, order="price")["recommendations"].collect()
+    recs = pages.user_dashboard(clean, fitted, uid, order="price")["recommendations"].orderBy("position").collect()
+    assert [r.position for r in recs] == list(range(1, len(recs) + 1))
     keys = [(r.price, -r.predicted_rating) for r in recs]
     assert keys == sorted(keys)
 
