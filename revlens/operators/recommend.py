@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.operators.products import popular_products, product_dimension
+from revlens.operators.summary import reviews_per
 from revlens.session import shared_dir
 
 # Model settings of the reference's collaborative filter.
@@ -41,8 +42,8 @@ def activity_filter(df: DataFrame, min_interactions: int = MIN_INTERACTIONS) ->
     """
     if min_interactions <= 0:
         return df
-    users = df.groupBy("user_id").count().filter(F.col("count") >= min_interactions).select("user_id")
-    products = df.groupBy("product_id").count().filter(F.col("count") >= min_interactions).select("product_id")
+    users = reviews_per(df, "user_id").filter(F.col("count") >= min_interactions).select("user_id")
+    products = reviews_per(df, "product_id").filter(F.col("count") >= min_interactions).select("product_id")
     return df.join(users, "user_id", "left_semi").join(products, "product_id", "left_semi")
 
 

@@ -96,3 +96,8 @@ def rating_histogram_by(df: DataFrame, key: str = "category") -> DataFrame:
         F.count(F.lit(1)).alias("count"))
     return spine.join(counts, [key, "rating"], "left").select(
         key, "rating", F.coalesce("count", F.lit(0)).alias("count"), rating_label("rating").alias("rating_label"))
+
+
+def reviews_per(df: DataFrame, key: str) -> DataFrame:
+    """Number of reviews per ``key`` (user_id or product_id) - a partial aggregate."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))

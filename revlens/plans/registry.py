@@ -392,6 +392,22 @@ def q_overview(spark, sf_dir):
 sql_overview = with_reviews(f"select {_SQL_OVERVIEW} from clean")
 
 
+def q_reviews_per_user(spark, sf_dir):
+    """Reviews per user."""
+    return summary.reviews_per(clean_table(spark, sf_dir), "user_id")
+
+
+sql_reviews_per_user = with_reviews("select user_id, count(*) as count from clean group by user_id")
+
+
+def q_reviews_per_product(spark, sf_dir):
+    """Reviews per product."""
+    return summary.reviews_per(clean_table(spark, sf_dir), "product_id")
+
+
+sql_reviews_per_product = with_reviews("select product_id, count(*) as count from clean group by product_id")
+
+
 def q_rating_histogram(spark, sf_dir):
     return summary.rating_histogram(clean_table(spark, sf_dir))
 
@@ -836,6 +852,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "period_product_rating": (q_period_product_rating, sql_period_product_rating),
     "category_overview": (q_category_overview, sql_category_overview),
     "overview": (q_overview, sql_overview),
+    "reviews_per_user": (q_reviews_per_user, sql_reviews_per_user),
+    "reviews_per_product": (q_reviews_per_product, sql_reviews_per_product),
     "rating_histogram": (q_rating_histogram, sql_rating_histogram),
     "rating_histogram_by_category": (q_rating_histogram_by_category, sql_rating_histogram_by_category),
     "database_summary": (q_database_summary, sql_database_summary),
