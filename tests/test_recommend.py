@@ -135,3 +135,11 @@ def test_content_similarity_hand_case(spark):
     assert set(out) == {"b", "d"}
     assert out["b"][0] == pytest.approx(1.0) and out["b"][1] == 1
     assert 0 < out["d"][0] < 1 and out["d"][1] == 2
+
+
+def test_variant_trains_on_everything(clean):
+    fitted = recommend.fit_recommender(clean, min_interactions=0, train_percent=100, max_iter=3)
+    assert fitted.test.count() == 0
+    assert fitted.train.count() == clean.count()  # no activity filter, no hold-out
+    pred = recommend.predictions(fitted, on=fitted.train)
+    assert pred.count() == clean.count()  # in-sample: every pair is known to the model
