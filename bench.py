@@ -28,6 +28,8 @@ HEADLINE = [
     "product_summary",
     "user_summary",
     "latest_reviews",
+    "product_reviews",
+    "user_history",
     "rating_histogram",
     "daily_activity",
     "yearly_activity",
