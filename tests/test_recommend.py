@@ -143,3 +143,23 @@ def test_variant_trains_on_everything(clean):
     assert fitted.train.count() == clean.count()  # no activity filter, no hold-out
     pred = recommend.predictions(fitted, on=fitted.train)
     assert pred.count() == clean.count()  # in-sample: every pair is known to the model
+
+
+def test_dense_index_across_many_partitions(spark):
+    """Coalescing off, so the counts really span several range partitions and the
+    per-partition offsets are exercised; compared with StringIndexer."""
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20000).select(
+            (F.col("id") % 997).cast("string").alias("k0"), (F.col("id") % 13).alias("m")
+        ).select(F.when(F.col("m") < 3, F.lit("hot")).otherwise(F.col("k0")).alias("k"))
+        idx = dense_index(df, "k", "k_index")
+        parts = idx.select(F.spark_partition_id()).distinct().count()
+        ours = {r["k"]: r["k_index"] for r in idx.collect()}
+        model = StringIndexer(inputCol="k", outputCol="i", stringOrderType="frequencyDesc").fit(df)
+        assert ours == {label: i for i, label in enumerate(model.labels)}
+        assert sorted(ours.values()) == list(range(len(ours)))
+        assert parts > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
