@@ -1,0 +1 @@
+"""Column helpers: dates (UTC), text, numbers and the token-set similarity score."""

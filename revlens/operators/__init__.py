@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: cleaning, rankings, summaries, search, recommender, metrics."""

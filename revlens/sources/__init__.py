@@ -1,0 +1 @@
+"""Sources and sinks: raw review dumps, the parquet store, CSV interchange, exports, the test view."""

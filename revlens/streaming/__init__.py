@@ -1,0 +1 @@
+"""Incremental ingest of raw review dumps with Structured Streaming."""
