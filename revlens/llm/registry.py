@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import chat, line_dedup
+from revlens.llm import chat, line_dedup, simhash, warc
 from revlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,26 @@ from t group by conv_id
 """
 
 
+def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the chunk table."""
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archives(warc.decide(table(spark, sf_dir, "pages")), folder)
+    return warc.page_records(warc.read_archives(manifest, folder))
+
+
+OP2_SQL = f"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest,
+             max(page_id) over (partition by sha1(html), strlen(html)) as keeper from p),
+r as (select *, payload_bytes >= {warc.MIN_REVISIT_BYTES} and keeper is not null
+                and page_id is distinct from keeper as again from d)
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
+       case when again then keeper end as refers_to,
+       case when again then 1 else greatest(1, ceil(payload_bytes / {warc.CHUNK_BYTES}.0))::bigint end as n_chunks
+from r
+"""
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -74,7 +94,15 @@ select p.doc_id, p.source, case when p.text is null then null else coalesce(k.te
 from p left join k using (rid)
 """
 
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_chat_round_trip": (op1_chat_round_trip, OP1_SQL),
+    "op2_warc_chunks": (op2_warc_chunks, OP2_SQL),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
+    "op10_simhash": (op10_simhash, None),
 }
