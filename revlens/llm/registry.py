@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import chat, line_dedup, simhash, warc
+from revlens.llm import chat, line_dedup, packing, simhash, warc
 from revlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ from p left join k using (rid)
 """
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, packed into sequences of 2048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -104,5 +109,6 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_chat_round_trip": (op1_chat_round_trip, OP1_SQL),
     "op2_warc_chunks": (op2_warc_chunks, OP2_SQL),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
+    "op6_packing": (op6_packing, None),
     "op10_simhash": (op10_simhash, None),
 }
