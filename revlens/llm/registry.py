@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import chat, line_dedup, packing, simhash, warc
-from revlens.llm.common import table
+from revlens.llm import chat, decontamination, language, line_dedup, packing, quality, simhash, warc
+from revlens.llm.common import crc32_mod, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +100,35 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"),
+                        F.array_distinct(F.transform("matches", lambda m: m["item_id"])).alias("item_ids"),
+                        F.to_json("matches").alias("matches"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of ids whose crc32 mod 3 is 1 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = crc32_mod("doc_id", 3)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold != 1)
+    scored = docs.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
+                         quality.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; ids whose crc32 mod 4 is 2 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = crc32_mod("doc_id", 4)
+    profiles = language.learn(docs, fold != 2)
+    return docs.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+                       language.predict(F.col("text"), profiles).alias("p")).select(
+        "doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -110,5 +139,8 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op2_warc_chunks": (op2_warc_chunks, OP2_SQL),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
     "op6_packing": (op6_packing, None),
+    "op7_decontamination": (op7_decontamination, None),
+    "op8_quality": (op8_quality, None),
+    "op9_language": (op9_language, None),
     "op10_simhash": (op10_simhash, None),
 }
