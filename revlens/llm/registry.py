@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import chat, decontamination, language, line_dedup, packing, quality, simhash, warc
+from revlens.llm import (
+    ann, chat, decontamination, language, line_dedup, packing, quality, secret_scan, simhash, warc,
+)
 from revlens.llm.common import crc32_mod, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +97,21 @@ from p left join k using (rid)
 """
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    base = [kind for kind, *_ in secret_scan.BASE]
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed([*base, "random"]).alias("spans"))
+
+
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, packed into sequences of 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -138,6 +155,8 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_chat_round_trip": (op1_chat_round_trip, OP1_SQL),
     "op2_warc_chunks": (op2_warc_chunks, OP2_SQL),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
+    "op4_secrets": (op4_secrets, None),
+    "op5_kmeans_tree": (op5_kmeans_tree, None),
     "op6_packing": (op6_packing, None),
     "op7_decontamination": (op7_decontamination, None),
     "op8_quality": (op8_quality, None),
