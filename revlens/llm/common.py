@@ -37,3 +37,8 @@ def free_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import free_name
+from revlens.llm.common import columns, free_name
 
 ERROR_RATE = 0.06
 MIN_ITEM_CHARS = 30
@@ -180,8 +180,9 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text: str = "text",
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-               item_text: str = "text", rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` plus ``matches``: the items found in each text, by start."""
+               item_text: str = "text", rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS,
+               into: str = "matches") -> DataFrame:
+    """``docs`` plus ``into``: the items found in each text, by start."""
     out, parts = docs, []
     for items in blocks(benchmark, item_id, item_text, block_chars):
         # at most block_chars characters
@@ -190,7 +191,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
         out = out.withColumn(name, F.pandas_udf(_finder(shared, rate), MATCH)(F.col(text)))
         parts.append(name)
     matches = F.concat(*parts) if parts else F.from_json(F.lit("[]"), MATCH)
-    return out.withColumn("matches", F.array_sort(matches, _by_start)).select(*docs.columns, "matches")
+    return out.select(*columns(docs), F.array_sort(matches, _by_start).alias(into))
 
 
 def _finder(shared, rate: float):
@@ -213,6 +214,6 @@ def _by_start(a, b):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **args) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
-    name = free_name(docs, "_hits")
-    found = find_items(docs.withColumn(name, F.lit(0)), benchmark, **args)
-    return found.filter(F.size("matches") == 0).select(*docs.columns)
+    hits = free_name(docs, "_hits")
+    found = find_items(docs, benchmark, into=hits, **args)
+    return found.filter(F.size(hits) == 0).select(*columns(docs))

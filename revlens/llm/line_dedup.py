@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import free_name, written
+from revlens.llm.common import columns, free_name, written
 
 BOILERPLATE_RATIO = 0.08
 MIN_PAGES = 10
@@ -56,8 +56,8 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str = "text", ratio: fl
 
 
 def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = BOILERPLATE_RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
-    """``pages`` with boilerplate lines removed from ``text``, plus n_lines and n_dropped."""
+                     min_pages: int = MIN_PAGES, counts: bool = True) -> DataFrame:
+    """``pages`` with boilerplate lines removed from ``text``; ``counts`` adds n_lines and n_dropped."""
     found = written(boilerplate_lines(pages, host, text, ratio, min_pages), "boilerplate")
     keys, at, lines, kept = (free_name(pages, x) for x in ("_keys", "_host", "_lines", "_kept"))
     found = found.select(F.col("host").alias(at), F.col("keys").alias(keys))
@@ -69,10 +69,10 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: flo
             F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(keys), _key(F.trim(x))))
         ),
     )
-    n_lines = F.when(F.col(text).isNull() | (F.col(text) == ""), 0).otherwise(F.size(lines)).cast("long")
-    n_dropped = F.coalesce(F.size(lines) - F.size(kept), F.lit(0))
-    out = [F.array_join(kept, "\n").alias(text) if c == text else F.col(c) for c in pages.columns]
-    return joined.select(
-        *out, n_lines.alias("n_lines"),
-        F.when(F.col(text).isNull(), 0).otherwise(n_dropped).cast("long").alias("n_dropped"),
-    )
+    out = [F.array_join(kept, "\n").alias(text) if c == text else col for c, col in zip(pages.columns, columns(pages))]
+    if counts:
+        blank = F.col(text).isNull() | (F.col(text) == "")
+        dropped = F.coalesce(F.size(lines) - F.size(kept), F.lit(0))
+        out += [F.when(blank, 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+                F.when(F.col(text).isNull(), 0).otherwise(dropped).cast("long").alias("n_dropped")]
+    return joined.select(*out)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from revlens.llm import (
     ann, chat, decontamination, language, line_dedup, packing, quality, secret_scan, simhash, warc,
 )
@@ -162,4 +163,5 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op8_quality": (op8_quality, None),
     "op9_language": (op9_language, None),
     "op10_simhash": (op10_simhash, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

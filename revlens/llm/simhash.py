@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import free_name, written
+from revlens.llm.common import columns, free_name, written
 from revlens.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -329,4 +329,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     joined = prints.join(found, F.col("fp") == F.col("cfp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     kept = written(joined.groupBy("label").agg(first.alias("k")).select(F.col("k.row").alias("kept")), "kept_rows")
-    return marked.join(kept, F.col(row) == F.col("kept"), "left_semi").select(*docs.columns)
+    return marked.join(kept, F.col(row) == F.col("kept"), "left_semi").select(*columns(docs))
