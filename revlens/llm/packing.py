@@ -27,9 +27,12 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,7 +48,7 @@ GRAIN = 8
 GAP = 0.001
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 CACHE_CHARS = 32
 BLOCK_CHARS = 1 << 20
 RANK_BLOCK = 4096
@@ -53,31 +56,67 @@ RANK_BLOCK = 4096
 # Fixed value: the characters the tokenizer takes as white space (str.split also takes \x1c-\x1f).
 WORD = re.compile("[^\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 BREAK = re.compile(r"[\t\n\r ]")
+SIMPLE = "\u0130"  # letters below have one lower-case letter and are their own composed form
 NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes for 256, 257, ..."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in a row; words are encoded once and kept in a
-    bounded table.
+    bounded table.  A word of Latin letters and at most one final point or
+    comma is two pieces to the tokenizer, the letters in lower case and the
+    mark, so its letters are looked up by themselves.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads do not survive a worker's fork
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.marks = {m: self._ids(self.tok.encode(m, add_special_tokens=False).ids) for m in (".", ",")} | {"": b""}
+
+    @staticmethod
+    def _ids(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
+
+    def _core(self, core: str) -> bytes:
+        core = core.lower()
+        got = self.cores.get(core)
+        if got is None:
+            shown = core if core.isascii() else "".join(map(self.letters.__getitem__, core.encode()))
+            got = self._ids([t.id for t in self.model.tokenize(shown)])
+            if len(self.cores) >= CACHE_WORDS:
+                self.cores.clear()
+            self.cores[core] = got
+        return got
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
             new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
+        rest = []
+        for w in new:
+            core = w[:-1] if w[-1] in ".," else w
+            if core.isalpha() and (core.isascii() or max(core) < SIMPLE):
+                self.known[w] = self._core(core) + self.marks[w[len(core):]]
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 20_000):
+            part = rest[at:at + 20_000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.asarray(e.ids, "<u4").tobytes()
+                self.known[w] = self._ids(e.ids)
 
     def blocks(self, text: str) -> Iterator[bytes]:
         """The ids of ``text``, a block of words at a time."""
@@ -98,6 +137,12 @@ class Encoder:
             at = end
 
 
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process, kept for its next tasks."""
+    return Encoder(path)
+
+
 def piece_lengths(n: int, sequence: int = SEQUENCE) -> list[int]:
     return [sequence] * (n // sequence) + ([n % sequence] if n % sequence else [])
 
@@ -111,7 +156,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence
     path = tokenizer_path or public_tokenizers.path(TOKENIZER)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = Encoder(path)
+        enc = encoder(path)
         end = np.asarray([END_ID], "<u4").tobytes()
         whole = 4 * sequence
         for b in batches:
