@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.session import shared_dir
+from revlens.session import shared_dir, written
 
 # Fixed value: what separates terms.
 TERM_SPLIT = "[^\\p{L}\\p{N}]+"
@@ -39,7 +39,9 @@ def term_weights(df: DataFrame) -> DataFrame:
     texts = _terms(df.select("product_id", "review_text"), "review_text")
     tf = titles.unionByName(texts).groupBy("product_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     n_products = df.select(F.count_distinct("product_id")).scalar()
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # both written: tf is used twice, and a term of all products can then be split by AQE
+    tf = written(tf, "term_counts")
+    dfreq = written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document_counts")
     idf = F.log((n_products + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return tf.join(dfreq, "term").select("product_id", "term", (F.col("tf") * idf).alias("w"))
 

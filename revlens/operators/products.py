@@ -108,9 +108,11 @@ def latest_reviews(df: DataFrame, k: int = 3, keys: Sequence[str] = ("product_id
     the shuffle, so a hot product sends at most k rows per map task.
     """
     w = Window.partitionBy(*keys).orderBy(F.desc("review_time"), F.asc("review_id"))
+    shown = ["user_name", "rating", "review_summary", "review_time", "review_id"]
+    if "product_id" not in keys:
+        shown = ["product_id", "title", *shown]
     return (
-        df.select(*keys, "user_name", "rating", "review_summary", "review_time", "review_id",
-                  F.row_number().over(w).alias("position"))
+        df.select(*keys, *[c for c in shown if c not in keys], F.row_number().over(w).alias("position"))
         .filter(F.col("position") <= k)
         .withColumn("date", display_date("review_time"))
     )

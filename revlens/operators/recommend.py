@@ -11,17 +11,24 @@ dimensions, the fallback list is a scalar subquery of at most ``k`` rows.
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.operators.products import popular_products, product_dimension
 from revlens.operators.summary import reviews_per
-from revlens.session import shared_dir
+from revlens.session import shared_dir, written
+from revlens.sources.files import path_exists
 
 # Model settings of the reference's collaborative filter.
 MIN_INTERACTIONS = 5
@@ -32,18 +39,26 @@ SPLIT_TRAIN_PERCENT = 80
 SPLIT_SEED = 42
 TOP_K = 10
 
+# Blocks of users and of products in a fit.  A parameter of the model like its
+# seed: the factors depend on it, so it must not follow the cluster's size.
+ALS_BLOCKS = 10
+REQUEST_BLOCK = 1024
+
 
 def activity_filter(df: DataFrame, min_interactions: int = MIN_INTERACTIONS) -> DataFrame:
     """P9 + J1 + J2: keep rows whose user and product each have >= ``min_interactions`` rows.
 
     Both counts are taken on the unfiltered input in one pass each (not an
-    iterated k-core).  The count tables have unique keys, so the joins are
-    left-semi: no duplicate rows, no extra columns.
+    iterated k-core).  The key lists are unique, so the joins are left-semi: no
+    duplicate rows, no extra columns.  They are written and read back: then both
+    sides of each join are plain exchanges, and AQE can split the rows of a user
+    or product that holds a large share of them.
     """
     if min_interactions <= 0:
         return df
     users = reviews_per(df, "user_id").filter(F.col("count") >= min_interactions).select("user_id")
     products = reviews_per(df, "product_id").filter(F.col("count") >= min_interactions).select("product_id")
+    users, products = written(users, "active_users"), written(products, "active_products")
     return df.join(users, "user_id", "left_semi").join(products, "product_id", "left_semi")
 
 
@@ -89,20 +104,18 @@ def train_test(rows: DataFrame, seed: int = SPLIT_SEED, train_percent: int = SPL
 
 
 def make_als(rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG, seed: int = SPLIT_SEED,
-             blocks: int | None = None) -> ALS:
+             blocks: int = ALS_BLOCKS) -> ALS:
     """M4: explicit-feedback, non-negative ALS; unseen ids dropped at scoring.
 
     Lineage is cut every 10 iterations through the shared checkpoint folder.
-    ``blocks`` sets the user/item block count (Spark's default when None).
+    ``blocks`` sets the user/item block count.
     """
-    als = ALS(
+    return ALS(
         userCol="user_index", itemCol="product_index", ratingCol="rating",
         coldStartStrategy="drop", nonnegative=True, implicitPrefs=False,
         rank=rank, maxIter=max_iter, regParam=reg, seed=seed, checkpointInterval=10,
+        numUserBlocks=blocks, numItemBlocks=blocks,
     )
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-    return als
 
 
 @dataclass
@@ -115,14 +128,8 @@ class Fitted:
 
 def fit_recommender(df: DataFrame, min_interactions: int = MIN_INTERACTIONS, train_percent: int = SPLIT_TRAIN_PERCENT,
                     **als_args) -> Fitted:
-    """M4 (or M5 with ``min_interactions=0, train_percent=100``).
-
-    User and item blocks default to the session's parallelism (one block per
-    core), which is what keeps each ALS half-iteration one wave of tasks.
-    """
+    """M4 (or M5 with ``min_interactions=0, train_percent=100``)."""
     shared_dir(df.sparkSession)
-    if not als_args.get("blocks"):
-        als_args["blocks"] = df.sparkSession.sparkContext.defaultParallelism
     idx = index_interactions(df, min_interactions)
     train, test = train_test(idx.rows, train_percent=train_percent)
     model = make_als(**als_args).fit(train)
@@ -176,19 +183,69 @@ def recommendation_table(fitted: Fitted, clean: DataFrame, k: int = TOP_K, order
     return out.filter(F.col("position") <= k)
 
 
-def recommendations_for(fitted: Fitted, clean: DataFrame, user_ids: DataFrame, k: int = TOP_K) -> DataFrame:
-    """M7 for a set of users (``recommendForUserSubset``), flattened with attributes."""
-    subset = user_ids.join(fitted.indexed.users, "user_id").select("user_index")
-    recs = fitted.model.recommendForUserSubset(subset, k)
-    flat = recs.select("user_index", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "user_index", (F.col("pos") + 1).alias("position"), "rec.product_index",
-        F.col("rec.rating").alias("predicted_rating"),
-    )
-    return (
-        flat.join(fitted.indexed.users.select("user_index", "user_id"), "user_index")
-        .join(product_lookup(fitted.indexed, clean), "product_index")
-        .select("user_id", "position", "product_id", "title", "price", "predicted_rating")
-    )
+def score_requests(user_factors: DataFrame, item_factors: DataFrame, requests: DataFrame, k: int = TOP_K) -> DataFrame:
+    """M7 for requested users: (user_index, product_index, predicted_rating, position), the k best products each.
+
+    ``user_factors`` and ``item_factors`` are (id, features); ``requests`` holds
+    ``user_index``.  The requested factors are taken in blocks of
+    ``REQUEST_BLOCK`` users; per block the product factors are read once, each
+    task keeps its k best per user, and a partial top-k merges them.  Unknown
+    users get no rows.  Ties go to the smaller product_index.
+    """
+    asked = requests.select(F.col("user_index").alias("id")).distinct().join(user_factors, "id").select("id", "features")
+    schema = "user_index long, product_index long, predicted_rating double"
+    out = None
+    block: list = []
+
+    def best(block: list) -> DataFrame:
+        ids = np.array([r["id"] for r in block], np.int64)
+        shared = np.array([list(r["features"]) for r in block], np.float64)  # at most REQUEST_BLOCK vectors
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if not len(b) or not len(ids):
+                    continue
+                item = b["id"].to_numpy(np.int64)
+                scores = shared @ np.array(b["features"].tolist(), np.float64).T
+                for i, user in enumerate(ids):
+                    top = np.lexsort((item, -scores[i]))[:k]
+                    yield pd.DataFrame({"user_index": user, "product_index": item[top], "predicted_rating": scores[i][top]})
+
+        return item_factors.select("id", "features").mapInPandas(run, schema)
+
+    for row in asked.toLocalIterator():
+        block.append(row)
+        if len(block) == REQUEST_BLOCK:
+            out = best(block) if out is None else out.unionAll(best(block))
+            block = []
+    if block or out is None:
+        last = best(block)
+        out = last if out is None else out.unionAll(last)
+    w = Window.partitionBy("user_index").orderBy(F.desc("predicted_rating"), F.asc("product_index"))
+    return out.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= k)
+
+
+def with_products(scored: DataFrame, products: DataFrame, order: str = "score") -> DataFrame:
+    """J7 + M9 (+O7): scored rows with the attributes of ``products`` (product_index, product_id, title, price).
+
+    ``order="score"``: predicted rating descending; ``order="price"``: price
+    ascending, then predicted rating.  Products without a row are dropped; the
+    scored side is at most k rows per request.
+    """
+    flat = scored.drop("position").join(products, "product_index")
+    first = [F.asc_nulls_last("price")] if order == "price" else []
+    w = Window.partitionBy("user_index").orderBy(*first, F.desc("predicted_rating"), F.asc("product_id"))
+    return flat.select("user_index", "product_id", "title", "price", "predicted_rating",
+                       F.row_number().over(w).alias("position"))
+
+
+def recommendations_for(fitted: Fitted, products: DataFrame, user_ids: DataFrame, k: int = TOP_K,
+                        order: str = "score") -> DataFrame:
+    """M7 + J7 for a request table of user ids; ``products`` is a stored :func:`product_lookup`."""
+    users = user_ids.select("user_id").distinct().join(fitted.indexed.users.select("user_id", "user_index"), "user_id")
+    scored = score_requests(fitted.model.userFactors, fitted.model.itemFactors, users, k)
+    return with_products(scored, products, order).join(users, "user_index").select(
+        "user_id", "position", "product_id", "title", "price", "predicted_rating")
 
 
 def fallback_for_unknown(users: DataFrame, known_users: DataFrame, clean: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -200,41 +257,60 @@ def fallback_for_unknown(users: DataFrame, known_users: DataFrame, clean: DataFr
     # at most k rows; sorted as the ranking (average desc, then id, title)
     entry = F.struct((-F.col("avg_rating")).alias("key"), "product_id", "title", "avg_rating")
     ordered = popular_products(clean, k=k).agg(F.sort_array(F.collect_list(entry))).scalar()
-    unknown = users.select("user_id").distinct().join(known_users.select("user_id"), "user_id", "left_anti")
+    unknown = users.select("user_id").distinct().join(known_users.select("user_id").distinct(), "user_id", "left_anti")
     return unknown.select(
         "user_id", F.posexplode(ordered).alias("pos", "p")
     ).select("user_id", (F.col("pos") + 1).alias("position"), "p.product_id", "p.title", "p.avg_rating")
 
 
-def save_model(model: ALSModel, path: str) -> None:
-    """Keep a fitted model (per category) for later requests."""
-    model.write().overwrite().save(path)
+def _settings(fit_args: dict) -> dict:
+    """The full settings of a fit, defaults filled in."""
+    known = {"min_interactions": MIN_INTERACTIONS, "train_percent": SPLIT_TRAIN_PERCENT, "rank": ALS_RANK,
+             "max_iter": ALS_MAX_ITER, "reg": ALS_REG, "seed": SPLIT_SEED, "blocks": ALS_BLOCKS}
+    unknown = fit_args.keys() - known.keys()
+    if unknown:
+        raise TypeError(f"unknown settings: {sorted(unknown)}")
+    return known | fit_args
 
 
-def load_model(path: str) -> ALSModel:
-    """Load a model written by :func:`save_model`."""
-    return ALSModel.load(path)
+def model_path(model_root: str, category: str, **fit_args) -> str:
+    """Folder of the model of a category under the given settings."""
+    text = json.dumps(_settings(fit_args), sort_keys=True)
+    return f"{model_root.rstrip('/')}/category={quote(category, safe='')}/settings={hashlib.sha256(text.encode()).hexdigest()[:16]}"
 
 
-def fit_or_load(clean: DataFrame, model_root: str, category: str, **fit_args) -> Fitted:
-    """One model per category, fitted once and reused by later requests.
+def save_fitted(fitted: Fitted, path: str, settings: dict) -> None:
+    """Factors, index tables and indexed rows; the settings are written last and mark the model complete."""
+    fitted.model.write().overwrite().save(f"{path}/model")
+    for name in ("rows", "users", "products"):
+        getattr(fitted.indexed, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    spark = fitted.indexed.rows.sparkSession
+    text = json.dumps(settings, sort_keys=True)
+    spark.range(1).select(F.lit(text).alias("settings")).write.mode("overwrite").parquet(f"{path}/complete")
 
-    The model lives under ``model_root/category=<name>``; the indexes are
-    rebuilt from the clean table (they are deterministic), so a loaded model
-    and its look-ups always agree.  Unlike the reference's cache, the key
-    includes the category.
-    """
-    from revlens.sources.files import path_exists
 
+def load_fitted(spark: SparkSession, path: str) -> Fitted | None:
+    """The model stored at ``path`` with its own index tables; None if it is missing or half-written."""
+    if not path_exists(spark, f"{path}/complete/_SUCCESS"):
+        return None
+    settings = json.loads(spark.read.parquet(f"{path}/complete").first()["settings"])
+    indexed = Indexed(*[spark.read.parquet(f"{path}/{name}") for name in ("rows", "users", "products")])
+    train, test = train_test(indexed.rows, train_percent=settings["train_percent"])
+    return Fitted(ALSModel.load(f"{path}/model"), indexed, train, test)
+
+
+def fit_or_load(clean: DataFrame, model_root: str, category: str, refit: bool = False, **fit_args) -> Fitted:
+    """One model per category and settings, fitted once and reused by later requests.
+
+    A stored model is used with the indexes it was fitted with: they are ordered
+    by frequency, so indexes rebuilt from later reviews would not fit its
+    factors.  ``refit`` replaces it with one of the present reviews.
+    """
     spark = clean.sparkSession
-    path = f"{model_root.rstrip('/')}/category={category}"
-    rows = clean.filter(F.col("category") == F.lit(category))
-    if path_exists(spark, path + "/metadata"):
-        min_i = fit_args.get("min_interactions", MIN_INTERACTIONS)
-        pct = fit_args.get("train_percent", SPLIT_TRAIN_PERCENT)
-        idx = index_interactions(rows, min_i)
-        train, test = train_test(idx.rows, train_percent=pct)
-        return Fitted(load_model(path), idx, train, test)
-    fitted = fit_recommender(rows, **fit_args)
-    save_model(fitted.model, path)
+    path = model_path(model_root, category, **fit_args)
+    fitted = None if refit else load_fitted(spark, path)
+    if fitted is None:
+        rows = clean.filter(F.col("category") == F.lit(category))
+        save_fitted(fit_recommender(rows, **fit_args), path, _settings(fit_args))
+        fitted = load_fitted(spark, path)
     return fitted

@@ -13,7 +13,7 @@ from revlens.operators.products import PRODUCT_KEYS, product_stats
 def search_products(df: DataFrame, term: str, literal: bool = False) -> DataFrame:
     """Catalogue entries whose label ``title (product_id)`` matches ``term``.
 
-    Case-insensitive regular expression (Java dialect); an empty term matches
+    Case-insensitive regular expression (Java dialect, Unicode case); an empty term matches
     every entry with a title; a null title never matches.  ``literal=True``
     searches the plain text instead.
     """
@@ -22,7 +22,7 @@ def search_products(df: DataFrame, term: str, literal: bool = False) -> DataFram
     if literal:
         cond = F.contains(F.lower(F.col("label")), F.lower(F.lit(term)))
     else:
-        cond = F.col("label").rlike("(?i)" + term)
+        cond = F.col("label").rlike("(?iu)" + term)
     return cat.filter(F.col("label").isNotNull() & cond)
 
 

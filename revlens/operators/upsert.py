@@ -10,14 +10,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
-def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str] = ("review_id",)) -> DataFrame:
-    """Rows of ``changes`` replace rows of ``base`` with the same key; new keys are added."""
+def last_changes(changes: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """One row per key: the largest by ``latest_by``, equal ones by a hash of the row (so repeatable)."""
+    order = [F.desc_nulls_last(c) for c in latest_by] + [F.desc(F.xxhash64(*changes.columns))]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return changes.withColumn("_n", first).filter("_n = 1").drop("_n")
+
+
+def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str] = ("review_id",),
+           latest_by: Sequence[str] = ("review_time",)) -> DataFrame:
+    """Rows of ``changes`` replace rows of ``base`` with the same key; new keys are added.
+
+    Of several changes of one key the last by ``latest_by`` counts.
+    """
     keys = list(keys)
-    changed = changes.select(*keys).distinct()
-    return base.join(changed, keys, "left_anti").unionByName(changes.select(*base.columns))
+    last = last_changes(changes, keys, latest_by)
+    return base.join(changes.select(*keys).distinct(), keys, "left_anti").unionByName(last.select(*base.columns))
 
 
 def delete(base: DataFrame, removed: DataFrame, keys: Sequence[str] = ("review_id",)) -> DataFrame:

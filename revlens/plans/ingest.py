@@ -1,7 +1,7 @@
 """Raw dumps -> stored review table (and the CSV interchange form).
 
-One narrow stage reads and parses the dumps (no shuffle), then one range
-shuffle lays the rows out by (category, product_id) for the parquet store.
+One narrow stage reads and parses the dumps and writes the parquet store, by
+default without a shuffle (see :func:`revlens.sources.files.write_review_table`).
 The reject counts ride along as an observation of the same job instead of
 a second pass.
 """
@@ -18,8 +18,9 @@ from revlens.sources.files import write_csv, write_review_table
 
 def with_review_id(df: DataFrame) -> DataFrame:
     """Give rows without a key a content hash as ``review_id`` (ties are then broken
-    the same way on every run; identical records share an id)."""
-    cols = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in raw.REVIEW_COLUMNS]
+    the same way on every run; identical records of a category share an id)."""
+    hashed = [*raw.REVIEW_COLUMNS, *(["category"] if "category" in df.columns else [])]
+    cols = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in hashed]
     key = F.sha2(F.concat_ws("\u001f", *cols), 256)
     if "review_id" in df.columns:
         return df.withColumn("review_id", F.coalesce(F.col("review_id"), key))
@@ -30,7 +31,7 @@ def parse_dumps(spark: SparkSession, path: str, category: str | None = None, lin
     """Raw dump(s) -> review rows with category and review_id, plus raw text of numbers."""
     blocks = raw.read_raw_blocks(spark, path, line_sep)
     parsed = raw.parse_blocks(blocks, keep_raw=True)
-    cat = F.lit(category) if category is not None else F.regexp_replace("file_name", "\\.[^.]*$", "")
+    cat = F.lit(category) if category is not None else raw.category_of("file_name")
     return with_review_id(parsed.withColumn("category", cat).drop("file_name"))
 
 

@@ -13,14 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions.dates import day_start_epoch
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
 from revlens.operators import content, evaluate, products, recommend, search, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
-from revlens.plans.tables import clean_table, stored_reviews
-from revlens.session import scratch_path
-from revlens.sources import files, raw
+from revlens.plans.tables import clean_table, stored_path, stored_reviews
+from revlens.session import scratch_path, written
+from revlens.sources import export, files, raw
 from revlens.sources.testview import with_reviews
 
 # The analysis period used by the period queries (the app's
@@ -31,9 +30,6 @@ PERIOD_END = "2001-12-31"
 SEARCH_TERM = "bolt|ring"
 SAMPLE_ROWS = 10000
 
-_LO = day_start_epoch(PERIOD_START)
-_HI = day_start_epoch(PERIOD_END)
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -52,7 +48,8 @@ def _sql_display(c: str) -> str:
     return f"case when {c} is null or {c} = 0 then 'N/A' else strftime({_sql_date(c)}, '%d/%m/%Y') end"
 
 
-_PERIOD = f"review_time >= {_LO} and review_time <= {_HI}"
+_PERIOD = (f"review_time >= epoch(timestamp '{PERIOD_START} 00:00:00')::bigint "
+           f"and review_time <= epoch(timestamp '{PERIOD_END} 00:00:00')::bigint")
 
 def _with_more(body_ctes: str, final: str) -> str:
     # with_reviews() opens the WITH clause; further CTEs follow after a comma
@@ -164,7 +161,7 @@ def q_latest_category_reviews(spark, sf_dir):
 
 
 sql_latest_category_reviews = with_reviews(f"""
-select category, user_name, rating, review_summary, review_time, review_id, position,
+select category, product_id, title, user_name, rating, review_summary, review_time, review_id, position,
        {_sql_display('review_time')} as date
 from (select *, cast(row_number() over (partition by category order by review_time desc, review_id) as integer) as position
       from clean) t where position <= 10""")
@@ -268,30 +265,31 @@ sql_review_detail_by_name = with_reviews(_SQL_DETAIL.format(keys="user_name, tit
 
 
 def q_category_users(spark, sf_dir):
-    return users.category_users(clean_table(spark, sf_dir))
+    """A13 on all stored reviews: a user is known by reviews of unknown price too."""
+    return users.category_users(stored_reviews(spark, sf_dir))
 
 
-sql_category_users = with_reviews("select distinct category, user_id from clean")
+sql_category_users = with_reviews("select distinct category, user_id from reviews")
 
 
 def q_user_categories(spark, sf_dir):
-    return users.user_categories(clean_table(spark, sf_dir))
+    return users.user_categories(stored_reviews(spark, sf_dir))
 
 
 sql_user_categories = with_reviews("""
 select user_id, string_agg(category, ',' order by category) as categories, count(*) as n_categories
-from (select distinct category, user_id from clean) t group by user_id""")
+from (select distinct category, user_id from reviews) t group by user_id""")
 
 
 def q_user_exists(spark, sf_dir):
     requests = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").cast("string").alias("user_id"), F.col("c_name").alias("customer_name"))
-    return users.user_exists(requests, clean_table(spark, sf_dir))
+    return users.user_exists(requests, stored_reviews(spark, sf_dir))
 
 
 sql_user_exists = with_reviews("""
 select cast(c_custkey as varchar) as user_id, c_name as customer_name,
-       cast(c_custkey as varchar) in (select user_id from clean) as "exists"
+       cast(c_custkey as varchar) in (select user_id from reviews) as "exists"
 from customer""")
 
 # ---- time ----------------------------------------------------------------------
@@ -627,7 +625,7 @@ sql_csv_roundtrip = with_reviews(
 def q_export_sample(spark, sf_dir):
     """S13 + O8: a repeatable sample of 10,000 cleaned reviews (hash order)."""
     clean = clean_table(spark, sf_dir)
-    return clean.orderBy(F.md5("review_id"), "review_id").limit(SAMPLE_ROWS).select(
+    return export.sample(clean, SAMPLE_ROWS).select(
         "review_id", "product_id", "user_id", "rating", "price", "review_time")
 
 
@@ -666,6 +664,11 @@ active as (select * from clean
 sql_activity_filter = _with_more(_SQL_ACTIVE, "select user_id, product_id, rating from active")
 
 
+def _active(spark, sf_dir):
+    """The filtered interactions, written once (they are read for train, test and users)."""
+    return written(interactions(recommend.activity_filter(clean_table(spark, sf_dir))), "active")
+
+
 def q_user_index(spark, sf_dir):
     rows = interactions(recommend.activity_filter(clean_table(spark, sf_dir)))
     return dense_index(rows, "user_id", "user_index")
@@ -698,8 +701,7 @@ sql_split_assignment = _with_more(_SQL_ACTIVE, f"select user_id, product_id, rat
 
 
 def q_baseline_metrics(spark, sf_dir):
-    rows = interactions(recommend.activity_filter(clean_table(spark, sf_dir)))
-    train, test = recommend.train_test(rows)
+    train, test = recommend.train_test(_active(spark, sf_dir))
     m = evaluate.quality_metrics(evaluate.item_average_predictions(train, test))
     return m.select(*[_r(c, 6) for c in ("rmse", "mae", "precision", "recall", "f1")], "tp", "fp", "fn", "n")
 
@@ -724,8 +726,7 @@ select round(rmse, 6) as rmse, round(mae, 6) as mae, round(precision, 6) as prec
 
 
 def q_radar_scores(spark, sf_dir):
-    rows = interactions(recommend.activity_filter(clean_table(spark, sf_dir)))
-    train, test = recommend.train_test(rows)
+    train, test = recommend.train_test(_active(spark, sf_dir))
     r = evaluate.radar_scores(evaluate.quality_metrics(evaluate.item_average_predictions(train, test)))
     return r.select(*[_r(c, 6) for c in r.columns])
 
@@ -771,7 +772,7 @@ join (select user_id, user_name from (
 def q_cold_start_fallback(spark, sf_dir):
     """M8: users without a model row (not in the training split) get the popular list."""
     clean = clean_table(spark, sf_dir)
-    rows = interactions(recommend.activity_filter(clean))
+    rows = _active(spark, sf_dir)
     train, _ = recommend.train_test(rows)
     return recommend.fallback_for_unknown(clean, train, clean).select(
         "user_id", "position", "product_id", "title", _r("avg_rating"))
@@ -821,6 +822,175 @@ def q_als_variant_metrics(spark, sf_dir):
     return evaluate.quality_metrics(recommend.predictions(fitted, on=fitted.train))
 
 
+# ---- requests: one user, one product, one category ------------------------------------
+# The keys the single-key pages are asked for.
+USER, PRODUCT = "1", "2"
+
+
+def q_user_page(spark, sf_dir):
+    """P6 + O3: the history of one user."""
+    return users.user_history(users.one_user(clean_table(spark, sf_dir), USER))
+
+
+_SQL_HISTORY = f"""
+select user_id, product_id, title, rating, price, helpfulness, review_summary, review_time,
+       {_sql_display('review_time')} as date, review_id from clean where user_id = '{USER}'"""
+sql_user_page = with_reviews(_SQL_HISTORY)
+
+
+def q_product_page(spark, sf_dir):
+    """P7 + P16: the reviews of one product."""
+    return products.product_reviews(products.one_product(clean_table(spark, sf_dir), PRODUCT))
+
+
+_SQL_PRODUCT = f"""
+select product_id, user_name, rating, price, helpfulness, review_summary, review_text, review_time,
+       {_sql_display('review_time')} as date, review_id from clean where product_id = '{PRODUCT}'"""
+sql_product_page = with_reviews(_SQL_PRODUCT)
+
+
+def q_user_index_of(spark, sf_dir):
+    """The index row of one user."""
+    index = dense_index(_active(spark, sf_dir), "user_id", "user_index")
+    return users.user_lookup(index, USER)
+
+
+sql_user_index_of = _with_more(_SQL_ACTIVE, f"""
+select * from (
+  select user_id, cast(row_number() over (order by n desc, user_id) - 1 as integer) as user_index, n as count
+  from (select user_id, count(*) as n from active group by user_id) t) i where user_id = '{USER}'""")
+
+
+def q_category_page(spark, sf_dir):
+    """The stored reviews of one category, resolved against the closed list of categories."""
+    path = stored_path(spark, sf_dir)
+    names = [r.category for r in stored_reviews(spark, sf_dir).select("category").distinct().collect()]
+    return files.read_review_table(spark, path, min(names), names).select("review_id", "product_id", "category")
+
+
+sql_category_page = with_reviews(
+    "select review_id, product_id, category from reviews where category = (select min(category) from reviews)")
+
+
+def q_missing_table(spark, sf_dir):
+    """Categories asked for in a table that is not there: no rows, no error (all categories counted)."""
+    there = stored_reviews(spark, sf_dir).select("category").distinct()
+    missing = files.read_review_table(spark, scratch_path(spark, "missing"))
+    found = missing.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    return there.join(found, "category", "left").select("category", F.coalesce("n", F.lit(0)).alias("n_reviews"))
+
+
+sql_missing_table = with_reviews("select distinct category, cast(0 as bigint) as n_reviews from reviews")
+
+
+def _exported(spark, write, *args, **more):
+    """Write an export and read its files back as text columns."""
+    path = scratch_path(spark, "export")
+    write(*args, path, **more)
+    return files.read_csv(spark, path)
+
+
+def q_export_history(spark, sf_dir):
+    """The history of one user as a file."""
+    return _exported(spark, export.export_user_history, users.user_history(clean_table(spark, sf_dir)), USER).select(
+        "user_id", "product_id", "title", "review_summary", "date", "review_id")
+
+
+sql_export_history = with_reviews(
+    f"select user_id, product_id, title, review_summary, date, review_id from ({_SQL_HISTORY}) h")
+
+
+def q_export_product(spark, sf_dir):
+    """The reviews of one product as a file."""
+    return _exported(spark, export.export_product_reviews, products.product_reviews(clean_table(spark, sf_dir)),
+                     PRODUCT).select("product_id", "user_name", "review_text", "date", "review_id")
+
+
+sql_export_product = with_reviews(f"select product_id, user_name, review_text, date, review_id from ({_SQL_PRODUCT}) h")
+
+
+def q_export_period(spark, sf_dir):
+    """Every review of the period as files."""
+    period = timeline.in_range(clean_table(spark, sf_dir), PERIOD_START, PERIOD_END)
+    return _exported(spark, export.export_period, period).select("review_id", "product_id", "user_id", "title")
+
+
+sql_export_period = with_reviews(f"select review_id, product_id, user_id, title from clean where {_PERIOD}")
+
+
+def q_export_similar(spark, sf_dir):
+    """Similar-product statistics as a file."""
+    return _exported(spark, export.export_similar, q_similar_products(spark, sf_dir)).select("product_id", "title")
+
+
+sql_export_similar = f"select product_id, title from ({sql_similar_products}) s"
+
+
+def q_delete_unpriced(spark, sf_dir):
+    """The rows of unknown price deleted by key."""
+    stored = stored_reviews(spark, sf_dir)
+    return upsert.delete(stored, stored.filter(F.col("price").isNull())).select("review_id", "product_id", "price")
+
+
+sql_delete_unpriced = with_reviews("select review_id, product_id, price from reviews where price is not null")
+
+
+def _request_recs(spark, sf_dir, order):
+    """M7 + M9 + J7 on factors that SQL can state: the first customer of each nation asks."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    c, p = F.col("c_custkey"), F.col("p_partkey")
+    user_factors = customer.select(c.alias("id"), F.array(c % 7, c % 11, F.lit(1)).alias("features"))
+    item_factors = part.select(p.alias("id"), F.array(p % 5, p % 13, p % 3).alias("features"))
+    requests = customer.groupBy("c_nationkey").agg(F.min("c_custkey").alias("user_index"))
+    scored = recommend.score_requests(user_factors, item_factors, requests)
+    dimension = products.product_dimension(clean_table(spark, sf_dir)).withColumn(
+        "product_index", F.col("product_id").cast("long"))
+    return recommend.with_products(scored, dimension, order)
+
+
+def q_request_recommendations(spark, sf_dir):
+    """The ten best products of each request, by predicted rating."""
+    return _request_recs(spark, sf_dir, "score")
+
+
+def q_request_recommendations_by_price(spark, sf_dir):
+    """The same ten, cheapest first, without the score."""
+    return _request_recs(spark, sf_dir, "price").drop("predicted_rating")
+
+
+_SQL_REQUESTS = """,
+req as (select min(c_custkey) as user_index from customer group by c_nationkey),
+sc as (select user_index, p_partkey as product_index,
+              cast((user_index % 7) * (p_partkey % 5) + (user_index % 11) * (p_partkey % 13) + p_partkey % 3 as double)
+              as predicted_rating from req, part),
+top as (select * from (select *, row_number() over (partition by user_index order by predicted_rating desc, product_index) as rn
+                       from sc) s where rn <= 10),
+dim as (select product_id, title, price from (
+          select product_id, title, price,
+                 row_number() over (partition by product_id order by review_time desc, review_id desc) as rn
+          from clean) x where rn = 1)
+select user_index, product_id, title, price{score}, cast(row_number() over (
+         partition by user_index order by {order}) as integer) as position
+from top join dim on dim.product_id = cast(product_index as varchar)"""
+
+sql_request_recommendations = with_reviews("").rstrip() + _SQL_REQUESTS.format(
+    score=", predicted_rating", order="predicted_rating desc, product_id")
+sql_request_recommendations_by_price = with_reviews("").rstrip() + _SQL_REQUESTS.format(
+    score="", order="price, predicted_rating desc, product_id")
+
+
+def q_export_recommendations(spark, sf_dir):
+    """The recommendation lists as files, without the score."""
+    return _exported(spark, lambda df, path: export.export_recommendations(df, path, with_score=False),
+                     _request_recs(spark, sf_dir, "score")).select("user_index", "product_id", "title", "position")
+
+
+sql_export_recommendations = (
+    "select cast(user_index as varchar) as user_index, product_id, title, cast(position as varchar) as position "
+    f"from ({sql_request_recommendations}) s")
+
+
 # name -> (spark query, oracle SQL or None)
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "popular_products": (q_popular_products, sql_popular_products),
@@ -877,6 +1047,19 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "product_lookup": (q_product_lookup, sql_product_lookup),
     "user_lookup": (q_user_lookup, sql_user_lookup),
     "cold_start_fallback": (q_cold_start_fallback, sql_cold_start_fallback),
+    "user_page": (q_user_page, sql_user_page),
+    "product_page": (q_product_page, sql_product_page),
+    "user_index_of": (q_user_index_of, sql_user_index_of),
+    "category_page": (q_category_page, sql_category_page),
+    "missing_table": (q_missing_table, sql_missing_table),
+    "export_history": (q_export_history, sql_export_history),
+    "export_product": (q_export_product, sql_export_product),
+    "export_period": (q_export_period, sql_export_period),
+    "export_similar": (q_export_similar, sql_export_similar),
+    "export_recommendations": (q_export_recommendations, sql_export_recommendations),
+    "delete_unpriced": (q_delete_unpriced, sql_delete_unpriced),
+    "request_recommendations": (q_request_recommendations, sql_request_recommendations),
+    "request_recommendations_by_price": (q_request_recommendations_by_price, sql_request_recommendations_by_price),
     "als_recommendations": (q_als_recommendations, None),
     "als_recommendations_by_price": (q_als_recommendations_by_price, None),
     "als_metrics": (q_als_metrics, None),

@@ -34,12 +34,15 @@ def ingest_view(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored review table of ``sf_dir`` (written on first use in this session)."""
+def stored_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored review table of ``sf_dir`` (written on first use in this session)."""
     path = _STORED.get(_key(spark, sf_dir))
-    if path is None or not path_exists(spark, os.path.join(path, "_SUCCESS")):
-        path = ingest_view(spark, sf_dir)
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    return path if path is not None and path_exists(spark, path) else ingest_view(spark, sf_dir)
+
+
+def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored review table of ``sf_dir``."""
+    return spark.read.schema(STORED_SCHEMA).parquet(stored_path(spark, sf_dir))
 
 
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:

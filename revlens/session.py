@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
 
@@ -60,6 +60,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(shared_dir(spark), "revlens", *parts, uuid.uuid4().hex)
 
 
+def written(df: DataFrame, *parts: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back (cuts the lineage)."""
+    path = scratch_path(df.sparkSession, *parts)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "revlens") -> SparkSession:
     """Local session used by tests and the bench (UI off, UTC, AQE on)."""
     spark = (

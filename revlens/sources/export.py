@@ -7,26 +7,30 @@ same tables as browser downloads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.sources.files import write_csv
 
-# Fixed value: rows in the sample export of a category.
-SAMPLE_ROWS = 10000
-
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write any result table as CSV with a header (quotes doubled)."""
     write_csv(df, path, mode)
 
 
-def sample(df: DataFrame, n: int = SAMPLE_ROWS, key: str = "review_id") -> DataFrame:
+def sample(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
     """``n`` rows in hash order of ``key`` - repeatable, unlike a bare limit.
 
-    Planned as a per-task top-n plus an n-row merge (TakeOrderedAndProject).
+    Rows are counted by the first four digits of the hash (at most 65,536
+    counts); only rows up to the digits that complete ``n`` are sorted, so the
+    merge holds n rows and one bucket, however many tasks read the table.
     """
-    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
+    digest = F.md5(F.col(key).cast("string"))
+    bucket = F.substring(digest, 1, 4)
+    counts = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    running = F.sum("c").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = counts.withColumn("upto", running).filter(F.col("upto") >= n).agg(F.min("b")).scalar()
+    return df.filter(bucket <= F.coalesce(last, F.lit("ffff"))).orderBy(digest, F.col(key)).limit(n)
 
 
 def export_user_history(history: DataFrame, user_id: str, path: str) -> None:
@@ -49,8 +53,8 @@ def export_similar(similar: DataFrame, path: str) -> None:
     export_csv(similar, path)
 
 
-def export_sample(df: DataFrame, path: str, n: int = SAMPLE_ROWS) -> None:
-    """The repeatable sample of a category."""
+def export_sample(df: DataFrame, path: str, n: int) -> None:
+    """The repeatable sample of a category (``export_period`` writes all of it)."""
     export_csv(sample(df, n), path)
 
 

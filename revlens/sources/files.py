@@ -43,6 +43,11 @@ def conform(df: DataFrame, with_stored: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
+def stream_folder(path: str) -> str:
+    """Where the streaming ingest of the table at ``path`` writes."""
+    return path.rstrip("/") + ".stream"
+
+
 def write_review_table(df: DataFrame, path: str, mode: str = "overwrite", observation=None,
                        metrics=(), cluster: bool = False) -> None:
     """Store reviews as parquet partitioned by ``category``.
@@ -84,22 +89,34 @@ def read_review_table(
 
     ``categories`` is the closed list of valid names; a name outside it
     raises ``ValueError``.  A missing table gives an empty DataFrame (S7).
+    Rows written by batch jobs and by the streaming ingest are read together.
     """
     if category is not None and categories is not None and category not in set(categories):
         raise ValueError(f"unknown category: {category!r}")
-    if not path_exists(spark, path):
+    df = None
+    for folder in (path, stream_folder(path)):
+        if path_exists(spark, folder):
+            # explicit schema: the partition column stays a string whatever its values look like
+            part = spark.read.schema(STORED_SCHEMA).parquet(folder)
+            df = part if df is None else df.unionByName(part)
+    if df is None:
         df = empty_reviews(spark)
-    else:
-        # explicit schema: the partition column stays a string whatever its values look like
-        df = spark.read.schema(STORED_SCHEMA).parquet(path)
     if category is not None:
         df = df.filter(F.col("category") == F.lit(category))
     return df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S3: CSV with header; quotes inside values are doubled (as pandas writes them)."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """S3: CSV with header; quotes inside values are doubled (as pandas writes them), blanks kept."""
+    writer = df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """CSV file(s) written by :func:`write_csv`, every column as text, blanks kept."""
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    return reader.option("multiLine", multiline).csv(path)
 
 
 def read_csv_reviews(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -109,15 +126,7 @@ def read_csv_reviews(spark: SparkSession, path: str, multiline: bool = False) ->
     whose column order or set differs (the pandas writer emits only the keys
     it saw) still line up; casts never fail the job (``try_cast``).
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    return conform(raw, with_stored=False)
+    return conform(read_csv(spark, path, multiline), with_stored=False)
 
 
 def rating_spine(spark: SparkSession, low: int = 1, high: int = 5) -> DataFrame:

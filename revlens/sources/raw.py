@@ -55,12 +55,16 @@ def _raw_value(key_lines: Column, key: str) -> Column:
     """Text after ``key`` on the last line starting with it, up to a repeat of the key."""
     # last line wins; no line (key absent) gives null
     last = F.try_element_at(F.filter(key_lines, lambda line: line.startswith(key)), F.lit(-1))
-    return _strip(F.substring_index(F.substring(last, len(key) + 1, 1 << 30), key, 1))
+    return _strip(F.substring_index(F.substring(last, F.lit(len(key) + 1), F.length(last)), key, 1))
 
 
 def read_raw_blocks(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFrame:
     """One row per record block: ``block`` text and ``file_name``."""
-    chunks = spark.read.option("lineSep", line_sep).text(path)
+    return split_blocks(spark.read.option("lineSep", line_sep).text(path))
+
+
+def split_blocks(chunks: DataFrame) -> DataFrame:
+    """Record blocks of the text source's chunks (batch or streaming)."""
     text = F.regexp_replace(F.col("value"), "\\r\\n?", "\n")
     # partition columns of a partitioned folder (e.g. category=...) are kept
     extra = [c for c in chunks.columns if c != "value"]
@@ -117,6 +121,14 @@ def count_rejects(parsed_raw: DataFrame) -> DataFrame:
     )
 
 
+def category_of(file_name: Column | str) -> Column:
+    """Category of a dump: its file name without extension, percent escapes of the file URI decoded."""
+    name = F.col(file_name) if isinstance(file_name, str) else file_name
+    stem = F.regexp_replace(name, "\\.[^.]*$", "")
+    # a plus sign is not an escape in a path, but would be one to url_decode
+    return F.url_decode(F.regexp_replace(stem, "\\+", "%2B"))
+
+
 def read_raw_reviews(
     spark: SparkSession, path: str, category: str | None = None, line_sep: str = "\n\n"
 ) -> DataFrame:
@@ -126,7 +138,7 @@ def read_raw_reviews(
     per category, as the dumps come).
     """
     parsed = parse_blocks(read_raw_blocks(spark, path, line_sep))
-    cat = F.lit(category) if category is not None else F.regexp_replace("file_name", "\\.[^.]*$", "")
+    cat = F.lit(category) if category is not None else category_of("file_name")
     return parsed.withColumn("category", cat).drop("file_name")
 
 

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from revlens.plans.ingest import ingest_dumps
+from revlens.plans.ingest import ingest_dumps, parse_dumps
 from revlens.sources import export, files
 from revlens.streaming.ingest import start_ingest
 from tests.test_raw import REC_A, REC_B, _write
@@ -41,6 +41,12 @@ def test_sample_is_repeatable(spark):
     a = [r.review_id for r in export.sample(df.repartition(4), 50).collect()]
     b = [r.review_id for r in export.sample(df.repartition(9), 50).collect()]
     assert a == b and len(a) == 50
+    import hashlib
+
+    order = sorted(map(str, range(1000)), key=lambda x: (hashlib.md5(x.encode()).hexdigest(), x))
+    assert a == order[:50]
+    assert [r.review_id for r in export.sample(df, 5000).collect()] == order
+    assert export.sample(df.limit(0), 5).count() == 0
 
 
 def test_streaming_ingest(spark, tmp_dir):
@@ -49,16 +55,47 @@ def test_streaming_ingest(spark, tmp_dir):
     out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
     q = start_ingest(spark, src, out, ck)
     q.awaitTermination(120)
-    assert spark.read.parquet(out).count() == 2
+    assert files.read_review_table(spark, out).count() == 2
     # a new file is picked up by the next run; the old one is not read twice
     _write(src, "Garden.txt", REC_B.replace("P200", "G1") + "\n")
     q = start_ingest(spark, src, out, ck)
     q.awaitTermination(120)
-    stored = spark.read.parquet(out)
+    stored = files.read_review_table(spark, out)
     assert stored.count() == 3
     assert sorted(r.category for r in stored.select("category").distinct().collect()) == ["Garden", "Tools"]
 
 
+def test_batch_and_stream_share_a_store(spark, tmp_dir):
+    """Batch, stream, restart, batch: no row is lost or doubled."""
+    old, new, late = (os.path.join(tmp_dir, d) for d in ("old", "new", "late"))
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    _write(old, "My Tools+.txt", REC_A + "\n\n" + REC_B + "\n")
+    ingest_dumps(spark, old, out)
+    _write(new, "Garden.txt", REC_B.replace("P200", "G1") + "\n")
+    for _ in range(2):
+        start_ingest(spark, new, out, ck).awaitTermination(120)
+    count = lambda: {r.category: r["count"] for r in files.read_review_table(spark, out).groupBy("category").count().collect()}
+    assert count() == {"My Tools+": 2, "Garden": 1}  # file names are decoded
+    _write(late, "Garden.txt", REC_A.replace("P100", "G2") + "\n")
+    files.write_review_table(parse_dumps(spark, late), out, mode="append")
+    assert count() == {"My Tools+": 2, "Garden": 2}
+    assert files.read_review_table(spark, out, "Garden").count() == 2
+
+
+def test_csv_keeps_blanks(spark, tmp_dir):
+    rows = [(" p1", "t ", 1.5, "u1", "Bob ", "1/1", 4.0, 10, " a", " ")]
+    df = spark.createDataFrame(rows, files.REVIEW_SCHEMA)
+    files.write_csv(df, tmp_dir + "/c")
+    assert [tuple(r) for r in files.read_csv_reviews(spark, tmp_dir + "/c").collect()] == rows
+
+
+def test_same_review_in_two_categories_has_two_keys(spark, tmp_dir):
+    for name in ("A.txt", "B.txt"):
+        _write(tmp_dir, name, REC_A + "\n")
+    ids = [r.review_id for r in parse_dumps(spark, tmp_dir).collect()]
+    assert len(ids) == len(set(ids)) == 2
+
+
 def test_exports_write_every_row(spark, tmp_dir):
     from revlens.operators import products, users
     from revlens.plans.tables import clean_table

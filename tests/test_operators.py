@@ -72,6 +72,9 @@ def test_upsert_and_delete(spark):
     changes = _reviews(spark, [("1", "p", "t", "u", 5.0, 1.0, 1, "new"), ("3", "p", "t", "u", 3.0, 1.0, 1, "add")])
     out = {r.review_id: r.review_text for r in upsert.upsert(base, changes).collect()}
     assert out == {"1": "new", "2": "keep", "3": "add"}
+    twice = changes.unionByName(_reviews(spark, [("1", "p", "t", "u", 4.0, 1.0, 9, "newer"), ("3", "p", "t", "u", 3.0, 1.0, 0, "older")]))
+    rows = [(r.review_id, r.review_text) for r in upsert.upsert(base, twice).collect()]
+    assert sorted(rows) == [("1", "newer"), ("2", "keep"), ("3", "add")]
     gone = upsert.delete(base, spark.createDataFrame([("2",)], "review_id string"))
     assert [r.review_id for r in gone.collect()] == ["1"]
 

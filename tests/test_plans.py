@@ -34,13 +34,20 @@ def test_per_key_top_k_is_limited_before_the_shuffle(spark):
     assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
 
 
-@pytest.mark.parametrize("name", ["popular_products", "top_rated", "trending_products", "export_sample"])
+@pytest.mark.parametrize("name", ["popular_products", "top_rated", "trending_products"])
 def test_rankings_use_take_ordered(spark, name):
     plan = _plan(spark, name)
     assert _nodes(plan, "TakeOrderedAndProject") == 1
     assert _nodes(plan, "Sort") == 0  # no full sort
 
 
+def test_sample_sorts_bucket_counts_only(spark):
+    """The rows go through a top-n; the one Sort is that of the running sum over at most 65,536 bucket counts."""
+    plan = _plan(spark, "export_sample")
+    assert _nodes(plan, "TakeOrderedAndProject") == 1
+    assert _nodes(plan, "Sort") == 1 and _nodes(plan, "Window") == 1
+
+
 def test_period_filter_reaches_the_scan(spark):
     plan = _plan(spark, "trending_products")
     pushed = re.search(r"^PushedFilters: \[(.*)\]$", plan, flags=re.M).group(1)

@@ -1,5 +1,7 @@
 """Indexes, split, ALS output shape, metrics, fallback."""
 
+import os
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer
@@ -105,12 +107,6 @@ def test_fallback_for_unknown_users(spark, clean):
     assert recommend.fallback_for_unknown(known.limit(3), known, clean).count() == 0
 
 
-def test_model_round_trip(fitted, tmp_dir):
-    recommend.save_model(fitted.model, tmp_dir + "/m")
-    again = recommend.load_model(tmp_dir + "/m")
-    assert again.rank == fitted.model.rank
-
-
 def test_fit_or_load_per_category(spark, clean, tmp_dir):
     cat = clean.groupBy("category").count().orderBy(F.desc("count"), "category").first().category
     first = recommend.fit_or_load(clean, tmp_dir, cat, max_iter=3)
@@ -120,6 +116,73 @@ def test_fit_or_load_per_category(spark, clean, tmp_dir):
     assert [r.id for r in a] == [r.id for r in b]
     assert a[0].features == b[0].features
 
+    # later reviews change the frequency order of users; a stored model keeps its own indexes
+    def recommended(model):
+        lookup = recommend.product_lookup(model.indexed, clean)
+        rows = recommend.recommendations_for(model, lookup, model.indexed.users.select("user_id")).collect()
+        return sorted((r.user_id, r.position, r.product_id, round(r.predicted_rating, 6)) for r in rows)
+
+    expected = recommended(first)
+    some = clean.filter(F.col("category") == cat)
+    busy = some.orderBy("user_id").first().user_id
+    more = some.limit(1).withColumn("user_id", F.lit(busy)).crossJoin(spark.range(40)).drop("id")
+    later = recommend.fit_or_load(clean.unionByName(more), tmp_dir, cat, max_iter=3)
+    assert recommended(later) == expected and expected
+
+    # other settings are another model; a half-written model is fitted again
+    assert recommend.model_path(tmp_dir, cat, max_iter=3) != recommend.model_path(tmp_dir, cat, max_iter=2)
+    path = recommend.model_path(tmp_dir, cat, max_iter=3)
+    os.rename(f"{path}/complete", f"{path}/incomplete")
+    assert recommend.load_fitted(spark, path) is None
+    assert recommended(recommend.fit_or_load(clean, tmp_dir, cat, max_iter=3)) == expected
+    with pytest.raises(TypeError):
+        recommend.fit_or_load(clean, tmp_dir, cat, rnk=3)
+
+
+def test_fit_does_not_follow_the_parallelism(spark, clean):
+    als = recommend.make_als()
+    assert als.getNumUserBlocks() == als.getNumItemBlocks() == recommend.ALS_BLOCKS
+    assert recommend.make_als(blocks=3).getNumUserBlocks() == 3
+
+
+def test_score_requests_matches_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    users, items = rng.integers(-3, 4, (50, 4)), rng.integers(-3, 4, (70, 4))
+    table = lambda x: spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, features array<float>")
+    asked = [3, 3, 7, 49, 1000]
+    monkeypatch.setattr(recommend, "REQUEST_BLOCK", 2)
+    got = recommend.score_requests(table(users), table(items).repartition(5), spark.createDataFrame([(i,) for i in asked], "user_index long"), 6)
+    rows = sorted((r.user_index, r.position, r.product_index, r.predicted_rating) for r in got.collect())
+    want = []
+    for u in (3, 7, 49):
+        scores = items @ users[u]
+        want += [(u, n + 1, int(i), float(scores[i])) for n, i in enumerate(np.lexsort((np.arange(70), -scores))[:6])]
+    assert rows == want
+    assert recommend.score_requests(table(users), table(items), spark.createDataFrame([], "user_index long")).count() == 0
+
+
+def test_hot_user_is_split_in_the_activity_filter(spark):
+    """Half of all rows on one user: the join against the written key list gets a skew read."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    new = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+           "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "20"}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        df = spark.range(400_000).repartition(8).select(
+            F.when(i % 2 == 0, "hot").otherwise((i % 5000).cast("string")).alias("user_id"),
+            (i % 3000).cast("string").alias("product_id"), F.lit(1.0).alias("rating"))
+        out = recommend.activity_filter(df)
+        assert out.count() == 400_000
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in new:
+            spark.conf.set(k, keep[k]) if k in keep else spark.conf.unset(k)
+
 
 def test_content_similarity_hand_case(spark):
     from revlens.operators.content import similar_by_content
