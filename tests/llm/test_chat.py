@@ -1,6 +1,5 @@
 import hashlib
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -62,7 +61,6 @@ def test_extra_columns(spark):
 alphabet = st.sampled_from(["<", "/", "s>", "[", "INST]", "ROLE]", "\\", "a", "\n", "</s>", "[/INST]"])
 
 
-@pytest.mark.slow
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["user", "assistant", "tool", "<s>"]),
                           st.lists(alphabet, max_size=8).map("".join)), min_size=1, max_size=30))

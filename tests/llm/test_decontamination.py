@@ -23,7 +23,7 @@ def slow_best(item, text):
 
 def edit(rng, text, k):
     for _ in range(k):
-        at = rng.randrange(len(text))
+        at = rng.randrange(len(text) or 1)
         text = rng.choice([text[:at] + text[at + 1:], text[:at] + "q" + text[at:], text[:at] + "q" + text[at + 1:]])
     return text
 

@@ -45,38 +45,48 @@ def test_small_tables_and_blocks(monkeypatch):
 def test_knapsack_is_best():
     rng = np.random.default_rng(2)
     for _ in range(20):
-        value = rng.random(12)
-        best, counts = packing.knapsack(value, 12)
-        assert (counts * np.arange(1, 13)).sum() <= 12
+        sizes = np.unique(rng.integers(1, 13, 6))
+        value = rng.random(len(sizes))
+        best, counts = packing.knapsack(value, sizes, 12)
+        assert (counts * sizes).sum() <= 12
         table = np.zeros(13)
         for c in range(1, 13):
-            table[c] = max([table[c - 1]] + [table[c - s] + value[s - 1] for s in range(1, c + 1)])
+            table[c] = max([table[c - 1]] + [table[c - s] + v for s, v in zip(sizes, value) if s <= c])
         assert abs(best - table[12]) < 1e-12 and abs((counts * value).sum() - best) < 1e-12
 
 
-def check_plan(demand):
-    capacity = len(demand)
-    plan = packing.plan_sequences(demand)
-    used = np.zeros(capacity, int)
+def test_classes_round_up_a_little():
+    for sequence in (1, 64, 256, 2048):
+        sizes = packing.class_sizes(sequence)
+        assert sizes[0] == 1 and sizes[-1] == sequence and (np.diff(sizes) > 0).all()
+        n = np.arange(1, sequence + 1)
+        up = sizes[np.searchsorted(sizes, n)]
+        assert (up >= n).all() and (up[n <= 64] == n[n <= 64]).all() and ((up - n) <= n / 32).all()
+    assert len(packing.class_sizes()) < 400
+
+
+def check_plan(demand, sizes, capacity=2048):
+    plan = packing.plan_sequences(demand, sizes, capacity)
+    used = np.zeros(len(sizes), int)
     for pattern, times in plan:
-        assert times > 0 and sum(c * k for c, k in pattern.items()) <= capacity
+        assert times > 0 and sum(sizes[c] * k for c, k in pattern.items()) <= capacity
         for c, k in pattern.items():
-            used[c - 1] += k * times
+            used[c] += k * times
     assert (used == demand).all()
     return sum(times for _, times in plan)
 
 
 def test_plans_use_each_piece_once_with_little_padding():
     rng = np.random.default_rng(4)
-    assert check_plan(np.zeros(256, int)) == 0
+    sizes = packing.class_sizes()
+    assert check_plan(np.zeros(len(sizes), int), sizes) == 0
     for n in (1, 7, 300, 30_000):
-        sizes = rng.integers(1, 257, n)
-        used = check_plan(np.bincount(sizes - 1, minlength=256))
-        assert used <= -(-sizes.sum() // 256) * 1.03 + 5
-    # a case whose optimum is known: 100 of 50% and 100 pairs of 25%
-    demand = np.zeros(256, int)
-    demand[127], demand[63] = 100, 200
-    assert check_plan(demand) == 100
+        for lengths in (rng.integers(1, 2049, n), np.minimum(2048, 1 + rng.exponential(300, n).astype(int)), rng.integers(1, 20, n),
+                        np.full(n, 3)):
+            used = check_plan(np.bincount(np.searchsorted(sizes, lengths), minlength=len(sizes)), sizes)
+            assert used <= -(-lengths.sum() // 2048) * 1.03 + 5
+    # a case whose optimum is known: 100 of a half and 200 of a quarter
+    assert check_plan(np.array([200, 100]), np.array([512, 1024])) == 100
 
 
 def check(spark, rows, **args):
@@ -107,14 +117,14 @@ def test_every_id_lies_in_one_piece(spark):
     rows = [(i, " ".join(rng.choices(["the", "of", "thon,", "Erst."], k=rng.randint(0, 900)))) for i in range(80)]
     rows += [(100 + i, t) for i, t in enumerate(ODD)] + [(None, "null id"), (7, "again"), (7, "again"), (200, None), (201, "ab " * 20_000)]
     out = check(spark, rows, sequence=256)
-    assert out["padding"].sum() < 0.05 * out["length"].sum()
+    assert out.drop_duplicates("sequence_id")["padding"].sum() < 0.05 * out["length"].sum()
     check(spark, rows[:5])
 
 
 def test_hot_class_is_ranked_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_BLOCK", 7)
     out = check(spark, [(i, "same text") for i in range(200)] + [(500, "x y z")], sequence=64)
-    assert out["padding"].sum() <= 64
+    assert out.drop_duplicates("sequence_id")["padding"].sum() <= 64
 
 
 def test_empty_and_extra_columns(spark):

@@ -77,7 +77,7 @@ def test_links_match_all_pairs(spark, tile_rows):
     dense = np.full(600, pool[0])  # a hot group: hundreds of copies around one fingerprint
     for _ in range(4):
         dense ^= (np.uint64(1) << rng.integers(0, 64, 600, dtype=np.uint64)) * (rng.random(600) < 0.6).astype(np.uint64)
-    pool = np.unique(np.concatenate([pool, dense, [0, 1, 7, 15, 2**64 - 1]]).astype(np.uint64))
+    pool = np.unique(np.concatenate([pool, dense, np.array([0, 1, 7, 15, 2**64 - 1], np.uint64)]))
     fps = spark.createDataFrame([(int(x),) for x in pool.view(np.int64)], "fp long")
     edges = simhash.link_edges(fps, tile_rows=tile_rows)
     got = {r.node: r.label for r in components(edges).collect()}
