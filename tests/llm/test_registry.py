@@ -33,5 +33,5 @@ COUNTS = {"op4_secrets": "documents", "op7_decontamination": "documents", "op8_q
 
 @pytest.mark.parametrize("name", sorted(COUNTS))
 def test_a_row_for_every_row(spark, name):
-    n = duckdb.sql(f"select count(*) from '{SF}/{COUNTS[name]}.parquet'").fetchone()[0]
+    n = duckdb.sql(f"select count(*) from '{SF}/{COUNTS[name]}.parquet'").fetchall()[0][0]
     assert QUERIES[name][0](spark, SF).count() == n
