@@ -48,7 +48,7 @@ GRAIN = 8
 GAP = 0.001
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 CACHE_CHARS = 32
 BLOCK_CHARS = 1 << 20
 RANK_BLOCK = 4096
