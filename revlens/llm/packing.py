@@ -2,7 +2,8 @@
 
 Documents become token ids (with an end id) and are cut into pieces: whole
 sequences of ``SEQUENCE`` ids and one remainder each.  The histogram of piece
-lengths, in classes of ``GRAIN`` ids, is the demand of a cutting-stock problem:
+lengths, in classes up to ``GRAIN`` ids wide, is the demand of a cutting-stock
+problem:
 
 * a linear program over patterns (how many pieces of each class share a
   sequence) is solved by column generation: the simplex duals price the
@@ -12,8 +13,8 @@ lengths, in classes of ``GRAIN`` ids, is the demand of a cutting-stock problem:
 * pieces are ranked within their class and dealt to the slots of the patterns.
 
 Scale.  The texts are read once; what is kept per piece is five numbers.  Only
-the histogram (at most ``SEQUENCE / GRAIN`` rows) goes to the one task that solves the program, so its size
-does not depend on the corpus.  Ranks come from counts per
+the histogram (a few hundred classes) goes to the one task that solves the
+program, so its size does not depend on the corpus.  Ranks come from counts per
 (class, block) with blocks of bounded size, so a class that holds a third of
 all pieces is spread over many tasks, and the pattern table that is joined to
 the pieces has at most about classes x classes rows.
@@ -143,17 +144,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def piece_lengths(n: int, sequence: int = SEQUENCE) -> list[int]:
-    return [sequence] * (n // sequence) + ([n % sequence] if n % sequence else [])
-
-
-PIECES = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, cls long"
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,
-           tokenizer_path: str | None = None) -> DataFrame:
-    """One row per piece: start, length, crc32 of its ids, ids of its document."""
+           grain: int = GRAIN, tokenizer_path: str | None = None) -> DataFrame:
+    """One row per piece: start, length, crc32 of its ids, ids of its document, class of its length."""
     path = tokenizer_path or public_tokenizers.path(TOKENIZER)
+    sizes = class_sizes(sequence, grain)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
@@ -178,6 +176,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence
                     start += len(part) // 4
                 out += [(row, doc_id, s, n, crc, start) for s, n, crc in found]
             frame = pd.DataFrame(out, columns=["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            frame["cls"] = np.searchsorted(sizes, frame["length"].to_numpy(np.int64))
             yield frame.astype({"doc_id": "Int64"})
 
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
@@ -188,45 +187,59 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence
 # ---- the linear program ------------------------------------------------------
 
 
-def knapsack(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Best multiset of classes 1..capacity (sizes in grains) by dynamic programming: value, counts."""
+def class_sizes(sequence: int = SEQUENCE, grain: int = GRAIN) -> np.ndarray:
+    """The lengths that close a class: every length while they are small, then steps of 2, 4, ... up to ``grain``.
+
+    A piece counts as its class's size, so a short piece wastes nothing and a
+    longer one at most 1/32 of its length.
+    """
+    sizes = [1]
+    while sizes[-1] < sequence:
+        step = min(grain, max(1, 1 << max(0, sizes[-1].bit_length() - 6)))
+        sizes.append(min(sequence, sizes[-1] + step))
+    return np.array(sizes)
+
+
+def knapsack(value: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """Most valuable multiset of classes within the capacity, by dynamic programming: value, counts."""
     best = np.zeros(capacity + 1)
-    pick = np.zeros(capacity + 1, np.int64)
+    pick = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        options = best[c - 1::-1][:c] + value[:c]  # the last piece is of size 1..c
-        k = int(options.argmax())
-        if options[k] > best[c - 1] + 1e-15:
-            best[c], pick[c] = options[k], k + 1
-        else:
-            best[c], pick[c] = best[c - 1], 0
-    counts = np.zeros(capacity, np.int64)
+        best[c] = best[c - 1]
+        if n := fitting[c]:
+            options = best[c - sizes[:n]] + value[:n]  # the last piece is of class 0..n - 1
+            k = int(options.argmax())
+            if options[k] > best[c] + 1e-15:
+                best[c], pick[c] = options[k], k
+    counts = np.zeros(len(sizes), np.int64)
     c = capacity
     while c > 0:
-        if pick[c]:
-            counts[pick[c] - 1] += 1
-            c -= pick[c]
+        if pick[c] >= 0:
+            counts[pick[c]] += 1
+            c -= sizes[pick[c]]
         else:
             c -= 1
     return float(best[capacity]), counts
 
 
-def _greedy_basis(demand: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _greedy_basis(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """A first basis: fill by the largest class left, as often as the scarcest class lasts.
 
     Each pattern uses up one class for good, so in the order of use the matrix
     is triangular and its solution, the times of use, is not negative.
     """
-    capacity = len(demand)
+    m = len(sizes)
     left = demand.astype(float).copy()
     columns, times = [], []
     while len(alive := np.flatnonzero(left > 0)):
-        pattern, room = np.zeros(capacity), capacity
+        pattern, room = np.zeros(m), capacity
         for c in alive[::-1]:
-            k = min(room // (c + 1), max(1, int(left[c])))
+            k = min(room // sizes[c], max(1, int(left[c])))
             if k:
-                pattern[c], room = k, room - k * (c + 1)
+                pattern[c], room = k, room - k * sizes[c]
         need = pattern > 0
-        ratio = np.full(capacity, np.inf)
+        ratio = np.full(m, np.inf)
         ratio[need] = left[need] / pattern[need]
         gone = int(ratio.argmin())
         time = ratio[gone]
@@ -234,9 +247,9 @@ def _greedy_basis(demand: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left[gone] = 0
         columns.append(pattern)
         times.append(time)
-        for c in np.flatnonzero(need & (left < 1e-9) & (np.arange(capacity) != gone)):
+        for c in np.flatnonzero(need & (left < 1e-9) & (np.arange(m) != gone)):
             left[c] = 0  # used up at the same time: a pattern of its own, used zero times
-            columns.append(np.where(np.arange(capacity) == c, capacity // (c + 1), 0).astype(float))
+            columns.append(np.where(np.arange(m) == c, capacity // sizes[c], 0).astype(float))
             times.append(0.0)
     return np.array(columns).T, np.array(times)
 
@@ -255,34 +268,31 @@ def _inverse(matrix: np.ndarray) -> np.ndarray:
     return work[:, m:]
 
 
-def solve_patterns(demand: np.ndarray, gap: float = GAP) -> list[tuple[np.ndarray, float]]:
+def solve_patterns(demand: np.ndarray, sizes: np.ndarray, capacity: int,
+                   gap: float = GAP) -> list[tuple[np.ndarray, float]]:
     """Patterns (pieces per class) and how often the linear program uses each.
 
-    ``demand[i]`` is the number of pieces of size i + 1.  Revised simplex on
-    min sum x, A x = demand; the best-priced new pattern comes in until the
-    duals prove the value to be within ``gap`` of the optimum.
+    Revised simplex on min sum x, A x = demand; the best-priced new pattern
+    comes in until the duals prove the value to be within ``gap`` of the optimum.
     """
-    capacity = len(demand)
     used = np.flatnonzero(demand)
     if not len(used):
         return []
-    d = demand[used].astype(float)
+    d, size = demand[used].astype(float), sizes[used]
     m = len(used)
-    columns, x = _greedy_basis(demand)
-    columns = columns[used]
+    columns, x = _greedy_basis(demand[used], size, capacity)
     inverse = _inverse(columns)
     for step in range(20 * m + 100):
         if step % 100 == 99:  # keep rounding errors from adding up
             inverse = _inverse(columns)
             x = np.maximum((inverse * d).sum(1), 0)
-        value = np.zeros(capacity)
-        value[used] = np.maximum(inverse.sum(0), 0)
-        worth, counts = knapsack(value, capacity)
+        value = np.maximum(inverse.sum(0), 0)
+        worth, counts = knapsack(value, size, capacity)
         # duals divided by the best price are feasible, so their value bounds the optimum
-        bound = max((d * value[used]).sum() / worth, (d * (used + 1)).sum() / capacity)
+        bound = max((d * value).sum() / worth, (d * size).sum() / capacity)
         if worth <= 1 + 1e-9 or x.sum() <= bound * (1 + gap):
             break
-        column = counts[used].astype(float)
+        column = counts.astype(float)
         direction = (inverse * column).sum(1)
         up = direction > 1e-9
         if not up.any():
@@ -299,53 +309,57 @@ def solve_patterns(demand: np.ndarray, gap: float = GAP) -> list[tuple[np.ndarra
         inverse[out] = pivot
     result = []
     for i in range(m):
-        pattern = np.zeros(capacity, np.int64)
+        pattern = np.zeros(len(sizes), np.int64)
         pattern[used] = np.rint(columns[:, i]).astype(np.int64)
         result.append((pattern, float(x[i])))
     return result
 
 
-def best_fill(left: np.ndarray, room: int) -> dict[int, int]:
+def best_fill(left: np.ndarray, sizes: np.ndarray, room: int) -> dict[int, int]:
     """The pieces that fill ``room`` best, larger ones first (subset sums as bits of an integer)."""
-    items = [c for c in range(min(room, len(left)), 0, -1) for _ in range(min(int(left[c - 1]), room // c))]
+    items = []
+    for c in np.flatnonzero((left > 0) & (sizes <= room))[::-1].tolist():
+        n, k = min(int(left[c]), room // int(sizes[c])), 1
+        while n:  # 1, 2, 4, ... pieces at a time
+            items.append((c, min(k, n), min(k, n) * int(sizes[c])))
+            n, k = n - min(k, n), 2 * k
     mask = (1 << (room + 1)) - 1
     sums = [1]
-    for c in items:
-        sums.append((sums[-1] | sums[-1] << c) & mask)
+    for _, _, size in items:
+        sums.append((sums[-1] | sums[-1] << size) & mask)
     at, content = sums[-1].bit_length() - 1, {}
-    for c, before in zip(reversed(items), reversed(sums[:-1])):
+    for (c, n, size), before in zip(reversed(items), reversed(sums[:-1])):
         if not before >> at & 1:
-            content[c] = content.get(c, 0) + 1
-            at -= c
+            content[c] = content.get(c, 0) + n
+            at -= size
     return content
 
 
-def plan_sequences(demand: np.ndarray) -> list[tuple[dict[int, int], int]]:
+def plan_sequences(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
     """(pattern {class: pieces}, sequences) that use each piece exactly once.
 
-    Classes are 1-based sizes in grains.  Patterns of the linear program are
-    rounded down and never take more pieces than there are; then the largest
-    piece left opens a sequence that is filled as well as the rest allows.
+    Patterns of the linear program are rounded down and never take more pieces
+    than there are; then the largest piece left opens a sequence that is filled
+    as well as the rest allows.
     """
     left = demand.astype(np.int64).copy()
-    capacity = len(demand)
     plan: list[tuple[dict[int, int], int]] = []
-    for pattern, times in sorted(solve_patterns(demand), key=lambda p: -p[1]):
+    for pattern, times in sorted(solve_patterns(demand, sizes, capacity), key=lambda p: -p[1]):
         need = pattern > 0
         n = min(int(times + 1e-6), int((left[need] // pattern[need]).min())) if need.any() else 0
         if n:
             left -= n * pattern
-            plan.append(({int(c) + 1: int(pattern[c]) for c in np.flatnonzero(pattern)}, n))
+            plan.append(({int(c): int(pattern[c]) for c in np.flatnonzero(pattern)}, n))
     while len(rest := np.flatnonzero(left)):
-        first = int(rest[-1]) + 1
-        left[first - 1] -= 1
-        content = best_fill(left, capacity - first)
+        first = int(rest[-1])
+        left[first] -= 1
+        content = best_fill(left, sizes, capacity - int(sizes[first]))
         for c, k in content.items():
-            left[c - 1] -= k
+            left[c] -= k
         content[first] = content.get(first, 0) + 1
-        more = min(int(left[c - 1] // k) for c, k in content.items())  # again while the pieces last
+        more = min(int(left[c] // k) for c, k in content.items())  # again while the pieces last
         for c, k in content.items():
-            left[c - 1] -= more * k
+            left[c] -= more * k
         plan.append((content, 1 + more))
     return plan
 
@@ -396,18 +410,16 @@ def _ranked(found: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, grain: int = GRAIN,
          tokenizer_path: str | None = None) -> DataFrame:
     """One row per piece: where it lies in its document and in which sequence at which offset."""
-    if sequence % grain:
-        raise ValueError("the sequence length must be a multiple of the grain")
-    found = pieces(docs, id_col, text, sequence, tokenizer_path)
-    found = written(found.withColumn("cls", F.ceil(F.col("length") / grain).cast("long")), "pieces")
+    sizes = class_sizes(sequence, grain)
+    found = written(pieces(docs, id_col, text, sequence, grain, tokenizer_path), "pieces")
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        demand = np.zeros(sequence // grain, np.int64)
+        demand = np.zeros(len(sizes), np.int64)
         for b in batches:
-            demand[b["cls"].to_numpy() - 1] = b["n"].to_numpy()
-        yield slot_table(plan_sequences(demand))
+            demand[b["cls"].to_numpy()] = b["n"].to_numpy()
+        yield slot_table(plan_sequences(demand, sizes, sequence))
 
-    # one task, for at most sequence / grain rows
+    # one task, for a row per class
     histogram = found.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).repartition(1)
     table = written(histogram.mapInPandas(solve, SLOTS), "slots").withColumnRenamed("cls", "c2")
     ranked = _ranked(found)
