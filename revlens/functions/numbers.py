@@ -42,8 +42,3 @@ def price_text(x: Column | str) -> Column:
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """num / den, 0 when den is 0 or null."""
     return F.coalesce(F.try_divide(_col(num).cast("double"), _col(den).cast("double")), F.lit(0.0))
-
-
-def zero_if_null(c: Column | str) -> Column:
-    """Null -> 0."""
-    return F.coalesce(_col(c), F.lit(0))

@@ -255,12 +255,12 @@ def fallback_for_unknown(users: DataFrame, known_users: DataFrame, clean: DataFr
     popular products via a scalar subquery - no join against the list.
     """
     # at most k rows; sorted as the ranking (average desc, then id, title)
-    entry = F.struct((-F.col("avg_rating")).alias("key"), "product_id", "title", "avg_rating")
+    entry = F.struct((-F.col("avg_rating")).alias("key"), "product_id", "title", "avg_rating", "avg_price", "n_reviews")
     ordered = popular_products(clean, k=k).agg(F.sort_array(F.collect_list(entry))).scalar()
     unknown = users.select("user_id").distinct().join(known_users.select("user_id").distinct(), "user_id", "left_anti")
     return unknown.select(
         "user_id", F.posexplode(ordered).alias("pos", "p")
-    ).select("user_id", (F.col("pos") + 1).alias("position"), "p.product_id", "p.title", "p.avg_rating")
+    ).select("user_id", (F.col("pos") + 1).alias("position"), "p.product_id", "p.title", "p.avg_rating", "p.avg_price", "p.n_reviews")
 
 
 def _settings(fit_args: dict) -> dict:

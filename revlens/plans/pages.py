@@ -8,7 +8,7 @@ column pruning, and single-key filters reach the parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators import products, recommend, search, summary, timeline, users
@@ -27,15 +27,14 @@ def user_dashboard(clean: DataFrame, fitted: recommend.Fitted, user_id: str, k:
     """
     mine = users.one_user(clean, user_id)
     ids = clean.sparkSession.createDataFrame([(user_id,)], "user_id string")
-    model_recs = recommend.recommendations_for(fitted, clean, ids, k)
-    if order == "price":
-        # Re-number within the user's <= k rows; the order travels in ``position``
-        w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("price"), F.desc("predicted_rating"), "product_id")
-        model_recs = model_recs.withColumn("position", F.row_number().over(w))
+    lookup = recommend.product_lookup(fitted.indexed, clean)
+    model_recs = recommend.recommendations_for(fitted, lookup, ids, k, order)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("avg_rating", "double"), ("avg_price", "double"), ("n_reviews", "long"))]
     fallback = recommend.fallback_for_unknown(ids, model_recs.select("user_id"), clean, k).select(
         "user_id", "position", "product_id", "title", F.lit(None).cast("float").alias("price"),
-        F.lit(None).cast("float").alias("predicted_rating"),
+        F.lit(None).cast("double").alias("predicted_rating"), "avg_rating", "avg_price", "n_reviews",
     )
+    model_recs = model_recs.select("*", *nothing)
     return {
         "summary": users.user_summary(mine),
         "history": users.user_history(mine),

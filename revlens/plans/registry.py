@@ -790,7 +790,7 @@ from (select distinct user_id from clean where user_id not in (select user_id fr
 _FITTED: dict[tuple[str, str], recommend.Fitted] = {}
 
 
-def _fitted(spark, sf_dir) -> recommend.Fitted:
+def fitted(spark, sf_dir) -> recommend.Fitted:
     """One model fit per session and data set, shared by the model queries."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
@@ -800,26 +800,26 @@ def _fitted(spark, sf_dir) -> recommend.Fitted:
 
 def q_als_recommendations(spark, sf_dir):
     """M4 + M7 + J7 + M9: top-10 of every user known to the model (no SQL form)."""
-    return recommend.recommendation_table(_fitted(spark, sf_dir), clean_table(spark, sf_dir))
+    return recommend.recommendation_table(fitted(spark, sf_dir), clean_table(spark, sf_dir))
 
 
 def q_als_recommendations_by_price(spark, sf_dir):
     """O7 + P21: the variant ordering (price ascending, then predicted rating), score column dropped."""
-    recs = recommend.recommendation_table(_fitted(spark, sf_dir), clean_table(spark, sf_dir), order="price")
+    recs = recommend.recommendation_table(fitted(spark, sf_dir), clean_table(spark, sf_dir), order="price")
     return recs.drop("predicted_rating")
 
 
 def q_als_metrics(spark, sf_dir):
     """M6 + M10 + M11 on the hold-out split (no SQL form: the model is iterative)."""
-    return evaluate.quality_metrics(recommend.predictions(_fitted(spark, sf_dir)))
+    return evaluate.quality_metrics(recommend.predictions(fitted(spark, sf_dir)))
 
 
 def q_als_variant_metrics(spark, sf_dir):
     """M5 + M6 + M10/M11: the variant app's model - all rows, no activity filter,
     no hold-out - scored in-sample (rows only)."""
     clean = clean_table(spark, sf_dir)
-    fitted = recommend.fit_recommender(clean, min_interactions=0, train_percent=100)
-    return evaluate.quality_metrics(recommend.predictions(fitted, on=fitted.train))
+    variant = recommend.fit_recommender(clean, min_interactions=0, train_percent=100)
+    return evaluate.quality_metrics(recommend.predictions(variant, on=variant.train))
 
 
 # ---- requests: one user, one product, one category ------------------------------------

@@ -153,11 +153,6 @@ def raw_block() -> Column:
     return F.concat_ws("\n", *lines)
 
 
-def render_raw(df: DataFrame) -> DataFrame:
-    """Inverse of the parser: a one-column (``value``) table of raw blocks."""
-    return df.select(raw_block().alias("value"))
-
-
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
     """Write reviews as a raw dump (blocks separated by a blank line), optionally
     one folder per value of ``partition_by`` (e.g. one dump per category)."""
