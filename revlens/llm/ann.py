@@ -31,6 +31,7 @@ import heapq
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -273,15 +274,11 @@ def search(found: DataFrame, queries: DataFrame, tree: Tree, visits: int, k: int
 
     def walks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
             for i, v in zip(b["vec_id"], b["v"]):
-                for n, leaf in enumerate(shared.value.walk(np.array(v))):
-                    if n == visits:
-                        break
-                    out.append((i, v, leaf))
-            yield pd.DataFrame(out, columns=["query_id", "v", "leaf"])
+                leaves = list(islice(shared.value.walk(np.array(v)), visits))
+                yield pd.DataFrame({"query_id": i, "leaf": leaves})
 
-    asked = written(queries.select("vec_id", "v").mapInPandas(walks, "query_id long, v array<double>, leaf long"), "walks")
+    asked = written(queries.select("vec_id", "v").mapInPandas(walks, "query_id long, leaf long"), "walks")
     sizes = found.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     loads = asked.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("qblocks"))
     # one row per leaf, bounded by the sample
@@ -291,7 +288,8 @@ def search(found: DataFrame, queries: DataFrame, tree: Tree, visits: int, k: int
     left = found.join(F.broadcast(grid), F.col("leaf") == F.col("l")).select(
         "leaf", own_block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)).alias("j"), "v", "ids")
     right = asked.join(F.broadcast(grid), F.col("leaf") == F.col("l")).select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), own_qblock.alias("j"), "v", "query_id")
+        "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), own_qblock.alias("j"), "query_id")
+    right = right.join(queries.select("vec_id", "v"), F.col("query_id") == F.col("vec_id")).drop("vec_id")
 
     def tile(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
