@@ -814,6 +814,27 @@ def q_als_metrics(spark, sf_dir):
     return evaluate.quality_metrics(recommend.predictions(fitted(spark, sf_dir)))
 
 
+def q_als_facts(spark, sf_dir):
+    """M4 + M6: what a fit must satisfy whatever its factors: who has factors, none negative, who is scored."""
+    f = fitted(spark, sf_dir)
+    negative = F.exists("features", lambda v: v < 0)
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return spark.range(1).select(
+        count(f.model.userFactors).alias("n_users"), count(f.model.itemFactors).alias("n_products"),
+        count(f.model.userFactors.filter(negative).unionAll(f.model.itemFactors.filter(negative))).alias("n_negative"),
+        count(f.train).alias("n_train"), count(f.test).alias("n_test"),
+        count(recommend.predictions(f)).alias("n_predicted"))
+
+
+sql_als_facts = _with_more(_SQL_ACTIVE + f""",
+sp as (select *, {_SQL_SPLIT} as is_train from active),
+train as (select * from sp where is_train), test as (select * from sp where not is_train)""", """
+select (select count(distinct user_id) from train) as n_users, (select count(distinct product_id) from train) as n_products,
+       cast(0 as bigint) as n_negative, (select count(*) from train) as n_train, (select count(*) from test) as n_test,
+       (select count(*) from test where user_id in (select user_id from train)
+                                   and product_id in (select product_id from train)) as n_predicted""")
+
+
 def q_als_variant_metrics(spark, sf_dir):
     """M5 + M6 + M10/M11: the variant app's model - all rows, no activity filter,
     no hold-out - scored in-sample (rows only)."""
@@ -1062,6 +1083,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "request_recommendations_by_price": (q_request_recommendations_by_price, sql_request_recommendations_by_price),
     "als_recommendations": (q_als_recommendations, None),
     "als_recommendations_by_price": (q_als_recommendations_by_price, None),
+    "als_facts": (q_als_facts, sql_als_facts),
     "als_metrics": (q_als_metrics, None),
     "als_variant_metrics": (q_als_variant_metrics, None),
 }

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from revlens.plans.registry import REGISTRY  # noqa: E402
 from revlens.session import local_session  # noqa: E402
 
-SKIP = {"als_recommendations", "als_recommendations_by_price", "als_metrics", "als_variant_metrics"}
+SKIP = {"als_recommendations", "als_recommendations_by_price", "als_metrics", "als_facts", "als_variant_metrics"}
 
 
 def summarise(plan: str) -> dict:

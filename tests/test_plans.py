@@ -7,7 +7,7 @@ import pytest
 from revlens.plans.registry import REGISTRY
 from tests.conftest import SF001
 
-MODEL = {"als_recommendations", "als_recommendations_by_price", "als_metrics", "als_variant_metrics"}
+MODEL = {"als_recommendations", "als_recommendations_by_price", "als_metrics", "als_facts", "als_variant_metrics"}
 
 
 def _plan(spark, name):
