@@ -40,10 +40,10 @@ STORED_SCHEMA = T.StructType(
     + [T.StructField("review_id", T.StringType()), T.StructField("category", T.StringType())]
 )
 
-# Rows missing any of these are dropped by cleaning.
+# Rows missing any of these are dropped by cleaning.
 REQUIRED_COLUMNS = ["product_id", "user_id", "rating", "price"]
 
-# Columns completed with a default when a source lacks them.
+# Columns completed with a default when a source lacks them.
 OPTIONAL_COLUMNS = ["review_time", "title", "user_name", "helpfulness", "review_summary", "review_text"]
 
 # Fixed value: placeholder written into absent optional text columns.
