@@ -329,4 +329,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     joined = prints.join(found, F.col("fp") == F.col("cfp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     kept = written(joined.groupBy("label").agg(first.alias("k")).select(F.col("k.row").alias("kept")), "kept_rows")
-    return marked.join(kept, F.col(row) == F.col("kept"), "left_semi").select(*columns(docs))
+    # the kept rows are a share of the corpus, so the join is a shuffle at every size, never a broadcast;
+    # hashing their ids leaves the texts unsorted
+    return marked.join(kept.hint("shuffle_hash"), F.col(row) == F.col("kept"), "left_semi").select(*columns(docs))
