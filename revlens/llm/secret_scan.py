@@ -11,8 +11,8 @@ pattern names but that look drawn at random:
    with random symbols (p >= ``MIN_RANDOM_P``).
 3. Length-aware false-discovery control: the discovery p-value of a token is
    the chance that ordinary text of that length, whose symbols coincide with
-   rate ``TEXT_COINCIDENCE``, would look as uniform.  Short tokens can hardly
-   reach a small one.  Benjamini-Hochberg holds the share of false discoveries
+   its encoding's rate of ordinary tokens, would look as uniform.  Short tokens
+   can hardly reach a small one.  Benjamini-Hochberg holds the share of false discoveries
    to ``FALSE_DISCOVERIES`` within each band of encoding and length, counted
    over all candidates of the corpus in bins of the p-value.
 
@@ -46,16 +46,22 @@ BASE = (
 MIN_TOKEN = 20
 TOKEN = r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_TOKEN
 
-# Encodings, smallest alphabet first, as (name, pattern of tokens that fit, alphabet).
+# How often two symbols of an ordinary token agree.
+TEXT_COINCIDENCE = 0.065  # two letters of English text agree with about this chance; 1/26 if random
+# Text written as hex, the first 2,000 characters of sf0.1's documents: 0.106 (fr) to 0.137 (en), the least taken; 1/16 if random.
+HEX_COINCIDENCE = 0.106
+DIGIT_COINCIDENCE = 0.148  # times written as YYYYMMDDhhmmss, years 1990 to 2025; 1/10 if random
+
+# Encodings, smallest alphabet first, as (name, pattern of tokens that fit, alphabet, rate of ordinary tokens).
+# Every run of 16 digits or lower-case hex is a base span, so as candidates only upper-case hex tokens get this far.
 # Letters are compared in lower case if the token has one case or only a capital first letter.
 ENCODINGS = (
-    ("digits", r"^[0-9]+$", "0123456789"),
-    ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
-    ("letters", r"^([A-Z]?[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz"),
-    ("base32", r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567"),
-    ("base64", r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("digits", r"^[0-9]+$", "0123456789", DIGIT_COINCIDENCE),
+    ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", HEX_COINCIDENCE),
+    ("letters", r"^([A-Z]?[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz", TEXT_COINCIDENCE),
+    ("base32", r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567", TEXT_COINCIDENCE),
+    ("base64", r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", TEXT_COINCIDENCE),
 )
-TEXT_COINCIDENCE = 0.065  # two letters of English text agree with about this chance; 1/26 if random
 MIN_RANDOM_P = 0.01
 FALSE_DISCOVERIES = 0.05
 BIN_WIDTH = 0.1  # of -ln p
@@ -131,12 +137,13 @@ def battery(tokens: DataFrame) -> DataFrame:
     """Rows with ``token`` plus encoding, n, random_p (consistent with random) and text_p (text looks like it)."""
     bare = F.regexp_replace("token", "=+$", "")
     rows = tokens.withColumn("bare", F.translate(bare, "-_", "+/"))
-    kind = alphabet = None
-    for name, pattern, letters in ENCODINGS:
+    kind = alphabet = rate = None
+    for name, pattern, letters, ordinary in ENCODINGS:
         fits = F.col("bare").rlike(pattern)
         kind = F.when(fits, name) if kind is None else kind.when(fits, name)
         alphabet = F.when(fits, letters) if alphabet is None else alphabet.when(fits, letters)
-    rows = rows.withColumn("encoding", kind).withColumn("alphabet", alphabet)
+        rate = F.when(fits, ordinary) if rate is None else rate.when(fits, ordinary)
+    rows = rows.withColumn("encoding", kind).withColumn("alphabet", alphabet).withColumn("rate", rate)
     rows = rows.withColumn("word", F.when(F.col("encoding") == "base64", F.col("bare")).otherwise(F.lower("bare")))
     rows = rows.withColumn("n", F.length("word").cast("double")).withColumn("k", F.length("alphabet").cast("double"))
     rows = rows.withColumn("x", F.transform(F.split("word", ""), lambda c: F.instr(F.col("alphabet"), c).cast("double")))
@@ -175,11 +182,11 @@ def battery(tokens: DataFrame) -> DataFrame:
     s = -(F.ln(p_chi) + F.ln(p_runs) + F.ln(p_serial))
     rows = rows.withColumn("s", s).withColumn("random_p", F.exp(-F.col("s")) * (1 + F.col("s") + F.col("s") * F.col("s") / 2))
 
-    # the same statistic for text: non-central, as symbols coincide more often than 1 in k
-    extra = F.greatest((F.col("n") - 1) * (F.col("k") * TEXT_COINCIDENCE - 1), zero)
+    # the same statistic for ordinary tokens: non-central, as symbols coincide more often than 1 in k
+    extra = F.greatest((F.col("n") - 1) * (F.col("k") * F.col("rate") - 1), zero)
     z_text = (F.col("chi2") - (F.col("k") - 1 + extra)) / F.sqrt(2 * (F.col("k") - 1) + 4 * extra)
     rows = rows.withColumn("text_p", upper_tail(-z_text))
-    return rows.drop("bare", "alphabet", "word", "k", "x", "chi2", "high", "n1", "neighbours", "steps", "mean", "s")
+    return rows.drop("bare", "alphabet", "rate", "word", "k", "x", "chi2", "high", "n1", "neighbours", "steps", "mean", "s")
 
 
 def thresholds(scored: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:

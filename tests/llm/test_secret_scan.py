@@ -53,6 +53,28 @@ def test_battery_finds_random_tokens_only(spark):
     assert not any(found["word"]) and not any(found["digits"]) and not any(found["repeat"])
 
 
+def found_by_kind(spark, rows):
+    """Per kind, which tokens lie within one random span."""
+    df = spark.createDataFrame([(i, f"see {t} here") for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    hits = {r.doc_id for r in secret_scan.scan(df).collect() if [(s.start, s.end) for s in r.random] == [(4, 4 + len(rows[r.doc_id][1]))]}
+    out = {}
+    for i, (k, _) in enumerate(rows):
+        out.setdefault(k, []).append(i in hits)
+    return out
+
+
+def test_long_upper_case_hex_is_found(spark):
+    rng = random.Random(8)
+    rows = [(k, "".join(rng.choices("0123456789ABCDEF", k=k))) for k in (40, 64, 128) for _ in range(40)]
+    syllables = "th er on an re he in ed nd ha at en es of or nt ea ti to it".split()
+    rows += [("text", "".join(rng.choices(syllables, k=k)).encode().hex().upper()) for k in (10, 16, 32) for _ in range(20)]
+    rows += [("plain", t) for t in ("DEADBEEF" * 5, "0123456789ABCDEF" * 4, "FFFFFF000000" * 4, "C0FFEE" * 7, "AB" * 32)]
+    found = found_by_kind(spark, rows)
+    hits = {k: sum(v) for k, v in found.items()}
+    assert hits[40] >= 28 and hits[64] >= 36 and hits[128] >= 36, hits  # a short key is near what text can look like
+    assert not any(found["text"]) and not any(found["plain"])
+
+
 def test_upper_tail(spark):
     from statistics import NormalDist
 
