@@ -4,7 +4,8 @@ Base spans come from three patterns (``BASE``).  The method adds tokens that no
 pattern names but that look drawn at random:
 
 1. Candidates are runs of at least ``MIN_TOKEN`` encoding characters; their
-   encoding (digits, hex, letters, base32, base64) is the smallest that fits.
+   encoding (digits, hex, letters, base32, base36, letters of both cases, base62,
+   base64) is the smallest that fits.
 2. Three tests per encoding: chi-squared uniformity over the alphabet, runs
    above and below its middle, serial correlation of neighbours.  Their
    p-values are combined by Fisher's method; a token stays if it is consistent
@@ -59,9 +60,13 @@ ENCODINGS = (
     ("digits", r"^[0-9]+$", "0123456789", DIGIT_COINCIDENCE),
     ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", HEX_COINCIDENCE),
     ("letters", r"^([A-Z]?[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz", TEXT_COINCIDENCE),
-    ("base32", r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567", TEXT_COINCIDENCE),
+    ("base32", r"^([a-z2-7]+|[A-Z2-7]+)$", "abcdefghijklmnopqrstuvwxyz234567", TEXT_COINCIDENCE),
+    ("base36", r"^([a-z0-9]+|[A-Z0-9]+)$", "abcdefghijklmnopqrstuvwxyz0123456789", TEXT_COINCIDENCE),
+    ("base52", r"^[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", TEXT_COINCIDENCE),
+    ("base62", r"^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", TEXT_COINCIDENCE),
     ("base64", r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", TEXT_COINCIDENCE),
 )
+CASED = ("base52", "base62", "base64")  # the others are compared in lower case
 MIN_RANDOM_P = 0.01
 FALSE_DISCOVERIES = 0.05
 BIN_WIDTH = 0.1  # of -ln p
@@ -144,7 +149,7 @@ def battery(tokens: DataFrame) -> DataFrame:
         alphabet = F.when(fits, letters) if alphabet is None else alphabet.when(fits, letters)
         rate = F.when(fits, ordinary) if rate is None else rate.when(fits, ordinary)
     rows = rows.withColumn("encoding", kind).withColumn("alphabet", alphabet).withColumn("rate", rate)
-    rows = rows.withColumn("word", F.when(F.col("encoding") == "base64", F.col("bare")).otherwise(F.lower("bare")))
+    rows = rows.withColumn("word", F.when(F.col("encoding").isin(*CASED), F.col("bare")).otherwise(F.lower("bare")))
     rows = rows.withColumn("n", F.length("word").cast("double")).withColumn("k", F.length("alphabet").cast("double"))
     rows = rows.withColumn("x", F.transform(F.split("word", ""), lambda c: F.instr(F.col("alphabet"), c).cast("double")))
     zero = F.lit(0.0)

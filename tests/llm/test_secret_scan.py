@@ -75,6 +75,25 @@ def test_long_upper_case_hex_is_found(spark):
     assert not any(found["text"]) and not any(found["plain"])
 
 
+def test_random_keys_of_every_encoding(spark):
+    rng = random.Random(9)
+    low, up, num = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = {"hex": "0123456789ABCDEF", "letters": low, "base32": up + "234567", "base32 low": low + "234567", "base36": low + num,
+                 "base36 up": up + num, "base52": low + up, "base62": low + up + num, "base64": low + up + num + "+/"}
+    rows = [((name, k), "".join(rng.choices(a, k=k))) for name, a in alphabets.items() for k in (24, 32, 40, 64, 100, 128)
+            for _ in range(40)]
+    words = "get user Name By Id Order list Total 2 set Value 3 from Page".split()
+    rows += [("word", "".join(rng.choices(words, k=k))) for k in (8, 12, 20) for _ in range(40)]
+    rows = [(k, t) for k, t in rows if len(t) >= 20]
+    found = found_by_kind(spark, rows)
+    hits = {k: sum(v) for k, v in found.items()}
+    assert hits.pop("word") <= secret_scan.FALSE_DISCOVERIES * sum(hits.values()), hits
+    assert all(hits[name, k] >= 35 for name in alphabets for k in (64, 100, 128)), hits
+    large = [name for name in alphabets if name not in ("hex", "letters")]  # 16 and 26 symbols: a short key is near text
+    assert all(hits[name, k] >= 32 for name in large for k in (32, 40)), hits
+    assert all(hits[name, 24] >= 28 for name in large if not name.startswith("base32")), hits
+
+
 def test_upper_tail(spark):
     from statistics import NormalDist
 
