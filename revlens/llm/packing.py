@@ -10,13 +10,19 @@ problem:
   classes, a knapsack dynamic program finds the best new pattern;
 * the pattern counts are rounded down, and the few pieces left over are packed
   largest first, each sequence filled as well as the rest allows;
-* pieces are ranked within their class and dealt to the slots of the patterns.
-
-Scale.  The texts are read once; what is kept per piece is five numbers.  Only
+* pieces are ranked within their class and dealt to the slots of the patterns;
+* patterns that would leave more than 1/``CUT_GAP`` of a sequence empty are not
+  used: their pieces are laid end to end, by class and rank, and cut where a
+  sequence is full, so all these sequences but the last have no padding.
+
+Scale.  The texts are read once; what is kept per piece is five numbers, and the
+ids of remainders, which are read again only to digest the parts of those that
+are cut (at most one per sequence).  Only
 the histogram (a few hundred classes) goes to the one task that solves the
 program, so its size does not depend on the corpus.  Ranks come from counts per
 (class, block) with blocks of bounded size, so a class that holds a third of
-all pieces is spread over many tasks, and the pattern table that is joined to
+all pieces is spread over many tasks; places of the pieces laid end to end come
+from sums per block in the same way.  The pattern table that is joined to
 the pieces has at most about classes x classes rows.
 
 Defined cases: null text is an empty text, which is one piece with the end id
@@ -47,6 +53,7 @@ from revlens.llm.common import written
 SEQUENCE = 2048
 GRAIN = 8
 GAP = 0.001
+CUT_GAP = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 100_000
@@ -144,12 +151,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-PIECES = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, cls long"
+PIECES = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, cls long, ids binary"
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence: int = SEQUENCE,
            grain: int = GRAIN, tokenizer_path: str | None = None) -> DataFrame:
-    """One row per piece: start, length, crc32 of its ids, ids of its document, class of its length."""
+    """One row per piece: start, length, crc32 of its ids, ids of its document, class of its length, ids of a remainder."""
     path = tokenizer_path or public_tokenizers.path(TOKENIZER)
     sizes = class_sizes(sequence, grain)
 
@@ -166,17 +173,17 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence
                     rest += ids
                     cut = max(0, (len(rest) - 1) // whole) * whole  # the end id is still to come
                     for at in range(0, cut, whole):
-                        found.append((start, sequence, zlib.crc32(rest[at:at + whole])))
+                        found.append((start, sequence, zlib.crc32(rest[at:at + whole]), None))
                         start += sequence
                     rest = rest[cut:]
                 rest += end
                 for at in range(0, len(rest), whole):
                     part = rest[at:at + whole]
-                    found.append((start, len(part) // 4, zlib.crc32(part)))
+                    found.append((start, len(part) // 4, zlib.crc32(part), part if len(part) < whole else None))
                     start += len(part) // 4
-                out += [(row, doc_id, s, n, crc, start) for s, n, crc in found]
-            frame = pd.DataFrame(out, columns=["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            frame["cls"] = np.searchsorted(sizes, frame["length"].to_numpy(np.int64))
+                out += [(row, doc_id, s, n, crc, start, ids) for s, n, crc, ids in found]
+            frame = pd.DataFrame(out, columns=["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+            frame.insert(6, "cls", np.searchsorted(sizes, frame["length"].to_numpy(np.int64)))
             yield frame.astype({"doc_id": "Int64"})
 
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
@@ -367,25 +374,34 @@ def plan_sequences(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list
 SLOTS = "cls long, first long, last long, per long, sequence long"
 
 
-def slot_table(plan: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
+def slot_table(plan: list[tuple[dict[int, int], int]], sizes: np.ndarray, capacity: int) -> pd.DataFrame:
     """Which ranks of a class go where: (cls, first, last, per, sequence).
 
     Ranks first..last - 1 of the class fill ``per`` slots of each sequence from
-    ``sequence`` on.
+    ``sequence`` on.  Where ``per`` is 0 they are laid end to end from the
+    sequence ``sequence`` on, as their pattern leaves too much room.
     """
     used: Counter = Counter()
+    loose: Counter = Counter()
     rows, sequence = [], 0
     for pattern, times in plan:
+        if (capacity - sum(int(sizes[c]) * k for c, k in pattern.items())) * CUT_GAP > capacity:
+            loose.update({c: k * times for c, k in pattern.items()})
+            continue
         for c, k in sorted(pattern.items()):
             rows.append((c, used[c], used[c] + k * times, k, sequence))
             used[c] += k * times
         sequence += times
+    rows += [(c, used[c], used[c] + k, 0, sequence) for c, k in sorted(loose.items())]
     return pd.DataFrame(rows, columns=["cls", "first", "last", "per", "sequence"]).astype("int64")
 
 
 # ---- dealing -----------------------------------------------------------------
 
 
+PLACED = ("row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id")
+
+
 def _ranked(found: DataFrame) -> DataFrame:
     """Pieces with a dense 0-based rank in their class, by blocks of bounded size.
 
@@ -404,7 +420,44 @@ def _ranked(found: DataFrame) -> DataFrame:
     inside = Window.partitionBy("cls", "block").orderBy("length", "row", "start")
     ranked = blocked.withColumn("r", F.row_number().over(inside) - 1)
     return ranked.join(offsets, (F.col("cls") == F.col("c1")) & (F.col("block") == F.col("b1"))).withColumn(
-        "rank", F.col("offset") + F.col("r")).drop("c1", "b1", "offset", "r", "block")
+        "rank", F.col("offset") + F.col("r")).drop("c1", "b1", "offset", "r")
+
+
+def _end_to_end(loose: DataFrame, found: DataFrame, sequence: int) -> DataFrame:
+    """``loose`` with sequence_id, laid end to end by class, block and length; a piece over a border becomes two.
+
+    Places come from sums per (class, block), which are summed within the class,
+    and sums per class, which are at most a few hundred rows.
+    """
+    sums = written(loose.groupBy("cls", "block").agg(F.sum("length").alias("ids")), "loose_sums")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sums.select("cls", F.col("block").alias("b3"), F.coalesce(
+        F.sum("ids").over(before.partitionBy("cls").orderBy("block")), F.lit(0)).alias("block_at"))
+    # one row per class
+    classes = sums.groupBy("cls").agg(F.sum("ids").alias("ids")).select(F.col("cls").alias("c4"), F.coalesce(
+        F.sum("ids").over(before.orderBy("cls")), F.lit(0)).alias("class_at"))
+    starts = written(blocks.join(F.broadcast(classes), F.col("cls") == F.col("c4")).select(
+        F.col("cls").alias("c3"), "b3", (F.col("block_at") + F.col("class_at")).alias("at")), "loose_starts")
+    inside = Window.partitionBy("cls", "block").orderBy("length", "row", "start")
+    run = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("length")
+    laid = loose.withColumn("run", run).join(starts, (F.col("cls") == F.col("c3")) & (F.col("block") == F.col("b3")))
+    place = F.col("at") + F.col("run")
+    laid = written(laid.withColumn("sequence_id", F.col("sequence") + F.floor(place / sequence).cast("long")).withColumn(
+        "head", F.least(F.col("length"), sequence - place % sequence)).drop("run", "c3", "b3", "at"), "loose_places")
+    cut = written(laid.filter(F.col("head") < F.col("length")), "cut_pieces")
+    ids = found.filter(F.col("ids").isNotNull()).select(F.col("row").alias("row_"), F.col("start").alias("start_"), "ids")
+    cut = cut.join(ids, (F.col("row") == F.col("row_")) & (F.col("start") == F.col("start_")))
+
+    def part(at, length, sequence_id):
+        digest = F.crc32(F.expr("ids").substr((at * 4 + 1).cast("int"), (length * 4).cast("int")))
+        return F.struct((F.col("start") + at).alias("start"), length.alias("length"), digest.alias("ids_crc32"),
+                        sequence_id.alias("sequence_id"))
+
+    head, zero = F.col("head"), F.lit(0).cast("long")
+    both = F.array(part(zero, head, F.col("sequence_id")), part(head, F.col("length") - head, F.col("sequence_id") + 1))
+    parts = cut.select("row", "doc_id", "doc_tokens", F.explode(both).alias("p")).select(*[
+        f"p.{c}" if c in ("start", "length", "ids_crc32", "sequence_id") else c for c in PLACED])
+    return laid.filter(F.col("head") == F.col("length")).select(*PLACED).unionByName(parts)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, grain: int = GRAIN,
@@ -417,17 +470,18 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sequence:
         demand = np.zeros(len(sizes), np.int64)
         for b in batches:
             demand[b["cls"].to_numpy()] = b["n"].to_numpy()
-        yield slot_table(plan_sequences(demand, sizes, sequence))
+        yield slot_table(plan_sequences(demand, sizes, sequence), sizes, sequence)
 
     # one task, for a row per class
     histogram = found.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).repartition(1)
     table = written(histogram.mapInPandas(solve, SLOTS), "slots").withColumnRenamed("cls", "c2")
-    ranked = _ranked(found)
+    ranked = _ranked(found.drop("ids"))
     # the slot table's size is bounded by the classes, not by the corpus
-    placed = ranked.join(F.broadcast(table), (F.col("cls") == F.col("c2")) & (F.col("rank") >= F.col("first")) &
-                         (F.col("rank") < F.col("last")))
-    placed = placed.withColumn(
+    dealt = written(ranked.join(F.broadcast(table), (F.col("cls") == F.col("c2")) & (F.col("rank") >= F.col("first")) &
+                                (F.col("rank") < F.col("last"))).drop("c2"), "dealt")
+    whole = dealt.filter(F.col("per") > 0).withColumn(
         "sequence_id", F.col("sequence") + F.floor((F.col("rank") - F.col("first")) / F.col("per")).cast("long"))
+    placed = whole.select(*PLACED).unionByName(_end_to_end(dealt.filter(F.col("per") == 0), found, sequence))
     # a sequence holds at most as many pieces as ids
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "row", "start")
     total = Window.partitionBy("sequence_id")

@@ -121,6 +121,21 @@ def test_every_id_lies_in_one_piece(spark):
     check(spark, rows[:5])
 
 
+def test_documents_over_half_a_sequence_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_BLOCK", 20)
+    rng = random.Random(12)
+    word = lambda n: " ".join(rng.choices(["the", "of", "and"], k=n - 1))
+    same, copy = [(i, word(1100)) for i in range(150)], word(1100)
+    mixed = [(i, copy if i % 3 == 0 else word(rng.randint(2, 2047))) for i in range(150)] + [(1, "the " * 5000)]
+    for rows in (same, mixed):
+        out = check(spark, rows)
+        assert len({ids_of(tokenizer(), w)[0] for w in ("the", "of", "and")}) == 3 and out["doc_tokens"].min() > 1
+        for _, g in out[out["doc_id"] != 1].sort_values("start").groupby("doc_id"):  # every id lies in one piece
+            assert (g["start"] == g["length"].cumsum() - g["length"]).all() and g["length"].sum() == g["doc_tokens"].iloc[0]
+        n = out["sequence_id"].nunique()
+        assert n <= 1.02 * out["length"].sum() / 2048 + 1, (n, out["length"].sum())
+
+
 def test_hot_class_is_ranked_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_BLOCK", 7)
     out = check(spark, [(i, "same text") for i in range(200)] + [(500, "x y z")], sequence=64)
