@@ -14,7 +14,9 @@ is a sort-merge join whose hot host AQE can split.
 Defined cases: lines are compared without surrounding blanks; blank lines are
 kept and never counted; a line repeated within a page counts once for it; null
 text stays null, an empty text stays empty; a null host is a host of its own;
-repeated rows count as pages of their own; hosts with fewer than ``min_pages``
+repeated rows and exact copies count as pages of their own, unless ``copies`` is
+false: then the pages of a host with equal text count as one, in its lines and
+in its total, so a large group of copies is no boilerplate; hosts with fewer than ``min_pages``
 pages that hold a line never drop it.
 """
 
@@ -38,14 +40,17 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate_lines(pages: DataFrame, host: str, text: str = "text", ratio: float = BOILERPLATE_RATIO,
-                      min_pages: int = MIN_PAGES) -> DataFrame:
+                      min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """(host, keys array<struct<a, b>>): the lines of each host above the ratio."""
-    slim = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
-    totals = slim.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
-    trimmed = F.transform(_lines(F.col("text")), lambda x: F.trim(x))
+    trimmed = F.transform(_lines(F.col(text)), lambda x: F.trim(x))
     keys = F.array_distinct(F.transform(F.filter(trimmed, lambda x: x != ""), _key))
+    slim = pages.select(F.col(host).alias("host"), F.col(text).alias("text"), keys.alias("keys"))
+    if not copies:  # line keys instead of texts are shuffled, a copy group sends one row per task
+        once = slim.groupBy("host", _key(F.col("text")).alias("digest")).agg(F.first("keys").alias("keys"))
+        slim = written(once, "distinct_pages")
+    totals = slim.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
     counts = (
-        slim.select("host", F.explode(keys).alias("k"))
+        slim.select("host", F.explode("keys").alias("k"))
         .groupBy("host", "k").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= min_pages)
     )
@@ -56,9 +61,9 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str = "text", ratio: fl
 
 
 def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = BOILERPLATE_RATIO,
-                     min_pages: int = MIN_PAGES, counts: bool = True) -> DataFrame:
+                     min_pages: int = MIN_PAGES, counts: bool = True, copies: bool = True) -> DataFrame:
     """``pages`` with boilerplate lines removed from ``text``; ``counts`` adds n_lines and n_dropped."""
-    found = written(boilerplate_lines(pages, host, text, ratio, min_pages), "boilerplate")
+    found = written(boilerplate_lines(pages, host, text, ratio, min_pages, copies), "boilerplate")
     keys, at, lines, kept = (free_name(pages, x) for x in ("_keys", "_host", "_lines", "_kept"))
     found = found.select(F.col("host").alias(at), F.col("keys").alias(keys))
     joined = pages.join(found, pages[host].eqNullSafe(F.col(at)), "left")

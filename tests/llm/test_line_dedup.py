@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from revlens.llm import line_dedup
 
 SCHEMA = "doc_id long, source string, text string"
@@ -44,3 +45,12 @@ def test_empty_and_extra_columns(spark):
     df = spark.createDataFrame([(1, "a", "x\ny")], SCHEMA).withColumn("_keys", F.lit(1)).withColumn("n_lines", F.lit(7))
     out = line_dedup.drop_boilerplate(df.withColumn("a.b", F.lit(2)), "source", counts=False)
     assert out.columns == ["doc_id", "source", "text", "_keys", "n_lines", "a.b"] and out.first().n_lines == 7
+
+
+def test_pipeline_keeps_a_large_group_of_copies(spark):
+    own = [(i, f"menu\nown {i}\nmore {i}" if i % 2 else f"own {i}") for i in range(60)]
+    rows = [(i, t, "en", "a", len(t)) for i, t in own + [(100 + i, "a clean page\nof two lines") for i in range(30)]]
+    rows += [(200, None, "en", None, None), (201, None, "en", "a", None), (202, "", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert got == {r[0]: r[1] and r[1].removeprefix("menu\n") for r in rows}
