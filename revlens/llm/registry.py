@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from revlens.llm import (
-    ann, chat, decontamination, language, line_dedup, packing, quality, secret_scan, simhash, warc,
+    ann, chat, decontamination, language, line_dedup, merkle, packing, quality, secret_scan, simhash, warc,
 )
 from revlens.llm.common import crc32_mod, table
 
@@ -152,6 +152,70 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; half of the documents come back without their line ends."""
+    docs = table(spark, sf_dir, "documents")
+    received = F.when(crc32_mod("doc_id", 2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    return merkle.prove(merkle.build_manifest(docs, received))
+
+
+# crc32 of the UTF-8 bytes of {0}: a step a bit over a step a byte
+_SQL_CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, strlen({0})), "
+    "lambda i: ('0x' || substr(hex(encode({0})), 2 * i::int + 1, 2))::bigint)), lambda c, b: list_reduce("
+    "list_prepend(xor(c, b), range(0, 8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))")
+
+
+def _sql_field(c: str) -> str:
+    return f"case when {c} is null then '-' else strlen({c}::varchar) || ':' || {c}::varchar end"
+
+
+def _sql_climb(state: str, nodes: str, key: str, levels: int, tag: str) -> tuple[str, str, str]:
+    """CTEs that climb ``levels`` levels of the trees of ``nodes`` (key, i, h, n) with the rows of ``state``."""
+    ctes = []
+    for k in range(levels):
+        up, runs, on = f"{tag}n{k}", f"{tag}r{k}", f"{tag}s{k}"
+        ctes += [
+            f"{runs} as materialized (select {key}, i // 3 as i, max(n) as n, list(h order by i) as hs from {nodes} "
+            f"group by {key}, i // 3)",
+            f"{up} as materialized (select {key}, i, case when n > 1 then sha256(array_to_string(hs, '')) else hs[1] end "
+            f"as h, (n + 2) // 3 as n from {runs})",
+            f"{on} as materialized (select s.* exclude (i, f, p), s.i // 3 as i, "
+            f"case when n = 1 then f else sha256(array_to_string(hs[1:s.i % 3], '') || f || "
+            f"array_to_string(hs[s.i % 3 + 2:], '')) end as f, case when n = 1 then p else p || "
+            f"array_to_string(hs[1:s.i % 3], '') || array_to_string(hs[s.i % 3 + 2:], '') end as p "
+            f"from {state} s join {runs} r on s.{key} = r.{key} and s.i // 3 = r.i)"]
+        state, nodes = on, up
+    return ",\n".join(ctes), state, nodes
+
+
+def _op11_sql(levels: int = 14, top_levels: int = 10) -> str:
+    """Trees of up to 3^levels documents and 3^top_levels sources."""
+    rest = " || ".join(_sql_field(c) for c in ("source", "lang", "n_chars"))
+    inner, state, nodes = _sql_climb("s", "n", "tree", levels, "a")
+    outer, last, root = _sql_climb("u", "m", "every", top_levels, "b")
+    return f"""
+with d as (select *, {_sql_field('doc_id')} || {rest} as head, case when doc_id is not null and
+             {_SQL_CRC32.format("doc_id::varchar")} % 2 = 0 then replace(text, chr(10), '') else text end as got
+           from documents),
+l as (select doc_id, coalesce('=' || source, '') as tree, sha256(head || {_sql_field('text')}) as leaf,
+             sha256(head || {_sql_field('got')}) as f from d),
+s as materialized (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, '' as p
+                   from l),
+n as (select tree, i, leaf as h, count(*) over (partition by tree) as n from s),
+{inner},
+m as materialized (select 1 as every, tree, row_number() over (order by tree) - 1 as i, h, count(*) over () as n
+                   from {nodes}),
+u as (select s.* exclude (i), m.i, m.h as subroot, 1 as every from {state} s join m using (tree)),
+{outer}
+select doc_id, leaf, subroot, h as root, sha256(p) as proof_sha256, f as folded_root, f = h as verified,
+       (length(p) // 64)::int as proof_nodes
+from {last} join {root} using (every)"""
+
+
+OP11_SQL = _op11_sql()
+
+
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_chat_round_trip": (op1_chat_round_trip, OP1_SQL),
     "op2_warc_chunks": (op2_warc_chunks, OP2_SQL),
@@ -163,5 +227,6 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op8_quality": (op8_quality, None),
     "op9_language": (op9_language, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_merkle": (op11_merkle, OP11_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
