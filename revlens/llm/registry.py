@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from revlens.llm import (
-    ann, chat, decontamination, language, line_dedup, merkle, packing, quality, secret_scan, simhash, warc,
+    ann, chat, decontamination, language, line_dedup, merkle, packing, pii, quality, resampling,
+    secret_scan, simhash, warc,
 )
 from revlens.llm.common import crc32_mod, table
 
@@ -216,6 +217,50 @@ from {last} join {root} using (every)"""
 OP11_SQL = _op11_sql()
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its importance weight towards the benchmark texts; the drawn twentieth has ranks."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_SQL_WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP12_SQL = f"""
+with d as (select row_number() over () as rid, doc_id, coalesce({_SQL_WORDS}, []) as w from documents),
+b as (select coalesce({_SQL_WORDS}, []) as w from benchmark),
+df as (select rid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+              list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as f from d),
+bf as (select unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+              list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as f from b),
+dn as materialized (select rid, f, count(*) as n from df group by all),
+c as materialized (select f, {_SQL_CRC32.format("f")} % {resampling.BUCKETS} as bucket
+                   from (select f from dn union select f from bf)),
+dc as (select bucket, sum(n)::bigint as s from dn join c using (f) group by bucket),
+bc as (select bucket, count(*) as t from bf join c using (f) group by bucket),
+g as (select x as bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((select coalesce(sum(s), 0) from dc) + {resampling.BUCKETS})::double
+             / ((coalesce(s, 0) + 1) * ((select coalesce(sum(t), 0) from bc) + {resampling.BUCKETS})::double)))::bigint as gain
+      from range(0, {resampling.BUCKETS}) r(x) left join dc on dc.bucket = x left join bc on bc.bucket = x),
+wt as (select rid, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight
+       from dn join c using (f) join g using (bucket) group by rid),
+sc as (select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+              coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{resampling.NOISE_SEED}:' ||
+              coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5) / 4294967296.0)))::bigint as score
+       from d left join wt using (rid)),
+rk as (select *, row_number() over (order by n_words >= {resampling.MIN_WORDS} desc, score desc, doc_id) as r,
+              floor(count(*) filter (n_words >= {resampling.MIN_WORDS}) over () * {resampling.PERCENT} / 100) as k from sc)
+select doc_id, n_features, weight, score, case when r <= k then r end as rank from rk"""
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: spans of the four forms and those that their contexts reveal."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+                        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_chat_round_trip": (op1_chat_round_trip, OP1_SQL),
     "op2_warc_chunks": (op2_warc_chunks, OP2_SQL),
@@ -228,5 +273,7 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op9_language": (op9_language, None),
     "op10_simhash": (op10_simhash, None),
     "op11_merkle": (op11_merkle, OP11_SQL),
+    "op12_resampling": (op12_resampling, OP12_SQL),
+    "op13_pii": (op13_pii, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert QUERIES.keys() <= entry.queries().keys()
     assert {n for n, (_, sql) in QUERIES.items() if sql} <= entry.oracle_sql().keys()
 
@@ -18,7 +18,7 @@ def test_all_are_registered():
 def test_sql(spark, name):
     fn, sql = QUERIES[name]
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = fn(spark, SF), con.sql(sql)
     order = sorted(want.columns)
@@ -28,7 +28,7 @@ def test_sql(spark, name):
 
 
 COUNTS = {"op4_secrets": "documents", "op7_decontamination": "documents", "op8_quality": "documents", "op9_language": "documents",
-          "op10_simhash": "documents"}
+          "op10_simhash": "documents", "op13_pii": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(COUNTS))
