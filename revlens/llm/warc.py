@@ -41,7 +41,6 @@ from revlens.session import scratch_path
 CHUNK_BYTES = 1 << 20
 ARCHIVE_BYTES = 128 << 20
 MIN_REVISIT_BYTES = 1000
-HEADER_LIMIT = 1 << 16
 GZIP_LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"  # the pages carry no fetch time; a fixed date keeps archives repeatable
 
@@ -173,7 +172,7 @@ class _Members(io.RawIOBase):
 
 def _fields(f) -> dict[str, str]:
     out: dict[str, str] = {}
-    while (line := f.readline(HEADER_LIMIT)) not in (b"\r\n", b""):
+    while (line := f.readline()) not in (b"\r\n", b""):
         k, _, v = line.decode("utf-8").rstrip("\r\n").partition(": ")
         out[k] = v
     return out
@@ -182,13 +181,13 @@ def _fields(f) -> dict[str, str]:
 def read_file(f, name: str, chunk_bytes: int = CHUNK_BYTES, data: bool = False) -> Iterator[tuple]:
     """The chunk rows of one open archive, in order."""
     n = 0
-    while f.readline(HEADER_LIMIT):  # the version line
+    while f.readline():  # the version line
         head = _fields(f)
         left = int(head["Content-Length"])
-        start = f.readline(HEADER_LIMIT)
+        start = f.readline()
         left -= len(start)
         http: dict[str, str] = {}
-        while (line := f.readline(HEADER_LIMIT)) != b"\r\n":
+        while (line := f.readline()) != b"\r\n":
             k, _, v = line.decode("utf-8").rstrip("\r\n").partition(": ")
             http[k] = v
             left -= len(line)

@@ -59,3 +59,24 @@ def test_broken_archives_are_refused():
     for bad in (wrong, good[:-6]):
         with pytest.raises((ValueError, KeyError)):
             list(warc.read_file(io.BytesIO(bad), "f"))
+
+
+def test_long_urls_come_back_whole(spark):
+    urls = ["http://ab/" + "é" * 200_000, "http://a/" + "x" * 70_000, "http://a/?" + "\r\n" * 40_000, "日" * 21_845, None, ""]
+    rows = [(i, u, f"<p>{i}</p>" * 300) for i, u in enumerate(urls)]
+    chunks = run(spark, rows).filter("is_last").collect()
+    want = {i: u if u is None else u.replace("\r", "%0D").replace("\n", "%0A") for i, u in enumerate(urls)}
+    assert {r.page_id: r.url for r in chunks} == want
+    assert all(r.payload_bytes == 3000 - 600 for r in chunks if r.page_id < 10)
+
+
+def test_long_payloads_and_clashing_columns(spark):
+    html = "é<p>" * 2_000_000
+    docs = spark.createDataFrame([(1, "u", html), (2, "u", html)], SCHEMA)
+    for c in ("digest", "size", "keeper", "d", "s", "refers_to", "n"):
+        docs = docs.withColumn(c, docs["url"])
+    folder = scratch_path(spark, "test-warc")
+    got = warc.page_records(warc.read_archives(warc.write_archives(warc.decide(docs), folder), folder)).collect()
+    digest = hashlib.sha1(html.encode()).hexdigest()
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to) for r in got) == [
+        (1, 10_000_000, digest, 2), (2, 10_000_000, digest, None)]
