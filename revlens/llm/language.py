@@ -13,7 +13,8 @@ so a long text needs no more memory than its distinct n-grams.
 
 Defined cases: null text or a text without a letter is ``und`` with score 0;
 equal counts rank by n-gram, equal distances by language name; with no training
-rows every text is ``und``; rows of null lang are not learned from.
+rows every text is ``und``; rows of null lang are not learned from; the number of
+languages has no bound but the driver's memory for their profiles.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.llm.common import written
+
 TOP = 300
 MAX_DOCS = 3000
-MAX_LANGUAGES = 2000
+HASHES = 1_000_000
 BLOCK_CHARS = 1 << 18
 UNKNOWN = "und"
 
@@ -117,18 +120,16 @@ class Profiles:
 def training_documents(docs: DataFrame, keep: Column, max_docs: int = MAX_DOCS) -> DataFrame:
     """(lang, text) of about ``max_docs`` documents per language for which ``keep`` (on doc_id) holds.
 
-    Counts per language give the share of hashes to take, so the texts are
-    selected by a filter, without a shuffle.
+    Counts per language give the share of hashes to take (at least one hash), so
+    the texts are selected without a sort.  The shares are a written table of one
+    row per language, however many there are: Spark broadcasts it while it is
+    small, else AQE splits the rows of a large language.
     """
-    hashed = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000))
-    usable = docs.filter(F.col("lang").isNotNull() & keep)
-    # one row per language, at most MAX_LANGUAGES
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    within = F.lit(False)
-    for r in counts.collect():
-        share = int(min(1.0, max_docs / r["n"]) * 1_000_000)
-        within = within | ((F.col("lang") == r["lang"]) & (hashed < share))
-    return usable.filter(within).select("lang", "text")
+    hashed = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(HASHES))
+    usable = docs.filter(F.col("lang").isNotNull() & keep).select("lang", "text", hashed.alias("hash"))
+    share = F.greatest(F.lit(1), F.floor(F.least(F.lit(1.0), max_docs / F.count(F.lit(1))) * HASHES)).cast("long")
+    shares = written(usable.groupBy("lang").agg(share.alias("share")).withColumnRenamed("lang", "l"), "language_shares")
+    return usable.join(shares, (F.col("lang") == F.col("l")) & (F.col("hash") < F.col("share"))).select("lang", "text")
 
 
 def learn(docs: DataFrame, keep: Column, max_docs: int = MAX_DOCS) -> dict[str, list[int]]:
@@ -158,12 +159,10 @@ def learn(docs: DataFrame, keep: Column, max_docs: int = MAX_DOCS) -> dict[str,
     counted = training_documents(docs, keep, max_docs).mapInPandas(count, "lang string, code long, n long")
     sums = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    # TOP rows per language
+    # TOP rows per language; the profiles are the model: TOP numbers per language
     best = sums.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= TOP)
-    out: dict[str, list[int]] = {}
-    for r in best.orderBy("lang", "r").collect():
-        out.setdefault(r["lang"], []).append(r["code"])
-    return out
+    listed = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "code"))).alias("ranked"))
+    return {r["lang"]: r["codes"] for r in listed.select("lang", F.col("ranked.code").alias("codes")).collect()}
 
 
 def predict(text: Column, profiles: dict[str, list[int]]) -> Column:

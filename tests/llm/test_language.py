@@ -99,3 +99,12 @@ def test_defined_cases(spark):
     assert df.select(language.predict(F.col("text"), known)).count() == 6
     none = language.learn(df.limit(0), keep)
     assert none == {} and df.select(language.predict(F.col("text"), none)["lang_pred"].alias("p")).first().p == "und"
+
+
+def test_every_language_is_learned(spark):
+    names = [f"l{i:04d}" for i in range(5000)]
+    rows = [(i, f"word {n}", n) for i, n in enumerate(names)] + [(9000 + i, "more words", "l0007") for i in range(300)]
+    known = language.learn(spark.createDataFrame(rows, SCHEMA), F.lit(True), max_docs=100)
+    assert sorted(known) == names
+    counts = Counter(r.lang for r in language.training_documents(spark.createDataFrame(rows, SCHEMA), F.lit(True), 100).collect())
+    assert set(counts) == set(names) and 60 <= counts["l0007"] <= 140 and sum(counts.values()) - counts["l0007"] == 4999
