@@ -38,7 +38,7 @@ import sys
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -56,7 +56,7 @@ GAP = 0.001
 CUT_GAP = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 CACHE_CHARS = 32
 BLOCK_CHARS = 1 << 20
 RANK_BLOCK = 4096
@@ -75,6 +75,25 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+class Looked(dict):
+    """Values of ``make`` kept by key: up to ``CACHE_WORDS`` new ones, and as many from before they last filled up."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit bytes.
 
@@ -90,41 +109,23 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
         self.marks = {m: self._ids(self.tok.encode(m, add_special_tokens=False).ids) for m in (".", ",")} | {"": b""}
+        self.known = Looked(self._word)
+        self.cores = Looked(self._core)
 
     @staticmethod
     def _ids(ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
     def _core(self, core: str) -> bytes:
-        core = core.lower()
-        got = self.cores.get(core)
-        if got is None:
-            shown = core if core.isascii() else "".join(map(self.letters.__getitem__, core.encode()))
-            got = self._ids([t.id for t in self.model.tokenize(shown)])
-            if len(self.cores) >= CACHE_WORDS:
-                self.cores.clear()
-            self.cores[core] = got
-        return got
+        shown = core if core.isascii() else "".join(map(self.letters.__getitem__, core.encode()))
+        return self._ids([t.id for t in self.model.tokenize(shown)])
 
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(words)
-        rest = []
-        for w in new:
-            core = w[:-1] if w[-1] in ".," else w
-            if core.isalpha() and (core.isascii() or max(core) < SIMPLE):
-                self.known[w] = self._core(core) + self.marks[w[len(core):]]
-            else:
-                rest.append(w)
-        for at in range(0, len(rest), 20_000):
-            part = rest[at:at + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = self._ids(e.ids)
+    def _word(self, word: str) -> bytes:
+        core = word[:-1] if word[-1] in ".," else word
+        if core.isalpha() and (core.isascii() or max(core) < SIMPLE):
+            return self.cores[core.lower()] + self.marks[word[len(core):]]
+        return self._ids(self.tok.encode(word, add_special_tokens=False).ids)
 
     def blocks(self, text: str) -> Iterator[bytes]:
         """The ids of ``text``, a block of words at a time."""
@@ -136,12 +137,7 @@ class Encoder:
                 end = m.start() if m else len(text)
             part = text[at:end]
             words = WORD.findall(part) if any(c in part for c in NOT_SPACE) else part.split()
-            distinct = set(words)
-            self._learn(distinct)
             yield b"".join(map(self.known.__getitem__, words))
-            for w in distinct:
-                if len(w) > CACHE_CHARS:
-                    del self.known[w]
             at = end
 
 
