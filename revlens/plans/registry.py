@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
-from revlens.operators import content, evaluate, products, recommend, search, summary, timeline, upsert, users
+from revlens.operators import content, evaluate, products, recommend, search, similar, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.plans.tables import clean_table, stored_path, stored_reviews
@@ -529,6 +529,42 @@ sql_similar_products = _with_more(
 from clean where product_id in (select product_id from scored where score > {SIMILARITY_THRESHOLD})
 group by product_id, title order by avg(rating) desc, product_id, title limit 10""")
 
+
+def q_similar_products_all(spark, sf_dir):
+    """The ten most similar products of every product, by title."""
+    return similar.most_similar(products.product_catalog(clean_table(spark, sf_dir)))
+
+
+# the order part of the score over what the common tokens leave, if its common characters allow it to count
+_SQL_LEFT = "c + case when c > 0 and x <> '' and y <> '' then 1 else 0 end"
+_SQL_CHARS = ("list_sum(list_transform(list_distinct(string_split(x, '')), lambda ch: "
+              "least(length(x) - length(replace(x, ch, '')), length(y) - length(replace(y, ch, '')))))")
+
+sql_similar_products_all = _with_more(f"""
+cat as (select distinct product_id, title from clean where title is not null),
+tk as (select *, list_sort({_sql_tokens(_sql_norm('title'))}) as tk from cat),
+e as materialized (select product_id, title, array_to_string(tk, ' ') as s, tk from tk where len(tk) > 0),
+st as materialized (select s, any_value(tk) as tk from e group by s),
+pr as (select a.s as sa, b.s as sb, length(a.s) as na, length(b.s) as nb,
+              length(array_to_string(list_sort(list_intersect(a.tk, b.tk)), ' ')) as c,
+              array_to_string(list_sort(list_filter(a.tk, lambda v: not list_contains(b.tk, v))), ' ') as x,
+              array_to_string(list_sort(list_filter(b.tk, lambda v: not list_contains(a.tk, v))), ' ') as y
+       from st a join st b on a.s <= b.s),
+bt as (select *, case when c = 0 then 0 else {_sql_half_even('200 * c', 'c + least(na, nb)')} end as by_tokens from pr),
+lo as (select *, x <> '' and y <> '' and 200 * ({_SQL_LEFT} + {_SQL_CHARS})
+                 > greatest({SIMILARITY_THRESHOLD}, by_tokens) * (na + nb) as more from bt),
+lc as (select sa, sb, by_tokens, na, nb, {_SQL_LEFT} + {_sql_lcs('x', 'y')} as l from lo where more),
+sc as materialized (select sa, sb, by_tokens as score from lo where not more
+                    union all select sa, sb, greatest(by_tokens, {_sql_half_even('200 * l', 'na + nb')}) from lc),
+both_ways as (select sa, sb, score from sc where score > {SIMILARITY_THRESHOLD}
+              union all select sb, sa, score from sc where score > {SIMILARITY_THRESHOLD} and sa <> sb),
+best as (select q.product_id, q.title, o.product_id as similar_id, min({{'r': -score, 't': o.title}}) as m
+         from e q join both_ways on q.s = sa join e o on o.s = sb where o.product_id <> q.product_id group by all),
+ranked as (select product_id, title, similar_id, m.t as similar_title, cast(-m.r as bigint) as score,
+                  cast(row_number() over (partition by product_id, title order by m.r, similar_id) as integer) as position
+           from best)""", "select * from ranked where position <= 10")
+
+
 def _anchor_product(clean: DataFrame) -> str:
     """Id of the most-reviewed product (ties: smallest id) - one value."""
     row = products.product_stats(clean).orderBy(F.desc("n_reviews"), "product_id", "title").select(
@@ -1052,6 +1088,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "product_search": (q_product_search, sql_product_search),
     "similar_titles": (q_similar_titles, sql_similar_titles),
     "similar_products": (q_similar_products, sql_similar_products),
+    "similar_products_all": (q_similar_products_all, sql_similar_products_all),
     "content_similar": (q_content_similar, sql_content_similar),
     "clean_reviews": (q_clean_reviews, sql_clean_reviews),
     "raw_roundtrip": (q_raw_roundtrip, sql_raw_roundtrip),
