@@ -3,7 +3,7 @@
 Data flow, all DataFrames:
 
     clean -> activity filter (semi-joins) -> dense indexes -> hash split
-          -> ALS fit -> top-k per user (blocked, inside ALS) -> flatten + look-ups
+          -> ALS fit -> top-k per user (by tiles, inner_topk) -> look-ups
 
 Nothing is collected: look-ups are joins against one-row-per-key
 dimensions, the fallback list is a scalar subquery of at most ``k`` rows.
@@ -13,19 +13,17 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
-from revlens.operators.products import popular_products, product_dimension
+from revlens.operators.inner_topk import top_products
+from revlens.operators.products import popular_products, popular_products_by, product_dimension
 from revlens.operators.summary import reviews_per
 from revlens.session import shared_dir, written
 from revlens.sources.files import path_exists
@@ -42,7 +40,6 @@ TOP_K = 10
 # Blocks of users and of products in a fit.  A parameter of the model like its
 # seed: the factors depend on it, so it must not follow the cluster's size.
 ALS_BLOCKS = 10
-REQUEST_BLOCK = 1024
 
 
 def activity_filter(df: DataFrame, min_interactions: int = MIN_INTERACTIONS) -> DataFrame:
@@ -165,64 +162,21 @@ def recommendation_table(fitted: Fitted, clean: DataFrame, k: int = TOP_K, order
     the reference, already-reviewed products stay in the list.
     Recommendations without a product row are dropped (inner join).
     """
-    model = fitted.model
-    recs = model.recommendForAllUsers(k)
-    flat = recs.select("user_index", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "user_index", "rec.product_index", F.col("rec.rating").alias("predicted_rating")
-    )
-    flat = flat.join(fitted.indexed.users.select("user_index", "user_id"), "user_index")
-    flat = flat.join(product_lookup(fitted.indexed, clean), "product_index")
-    if order == "price":
-        w_order = [F.asc_nulls_last("price"), F.desc("predicted_rating"), F.asc("product_id")]
-    else:
-        w_order = [F.desc("predicted_rating"), F.asc("product_id")]
-    # groups are at most k rows per user
-    w = Window.partitionBy("user_id").orderBy(*w_order)
-    out = flat.select("user_id", "product_id", "title", "price", "predicted_rating",
-                      F.row_number().over(w).alias("position"))
-    return out.filter(F.col("position") <= k)
+    scored = top_products(fitted.model.userFactors, fitted.model.itemFactors, k)
+    return with_products(scored, product_lookup(fitted.indexed, clean), order).join(
+        fitted.indexed.users.select("user_index", "user_id"), "user_index").select(
+        "user_id", "product_id", "title", "price", "predicted_rating", "position")
 
 
 def score_requests(user_factors: DataFrame, item_factors: DataFrame, requests: DataFrame, k: int = TOP_K) -> DataFrame:
     """M7 for requested users: (user_index, product_index, predicted_rating, position), the k best products each.
 
     ``user_factors`` and ``item_factors`` are (id, features); ``requests`` holds
-    ``user_index``.  The requested factors are taken in blocks of
-    ``REQUEST_BLOCK`` users; per block the product factors are read once, each
-    task keeps its k best per user, and a partial top-k merges them.  Unknown
-    users get no rows.  Ties go to the smaller product_index.
+    ``user_index`` and may be all users.  Unknown users get no rows.  Ties go to
+    the smaller product_index.
     """
-    asked = requests.select(F.col("user_index").alias("id")).distinct().join(user_factors, "id").select("id", "features")
-    schema = "user_index long, product_index long, predicted_rating double"
-    out = None
-    block: list = []
-
-    def best(block: list) -> DataFrame:
-        ids = np.array([r["id"] for r in block], np.int64)
-        shared = np.array([list(r["features"]) for r in block], np.float64)  # at most REQUEST_BLOCK vectors
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if not len(b) or not len(ids):
-                    continue
-                item = b["id"].to_numpy(np.int64)
-                scores = shared @ np.array(b["features"].tolist(), np.float64).T
-                for i, user in enumerate(ids):
-                    top = np.lexsort((item, -scores[i]))[:k]
-                    yield pd.DataFrame({"user_index": user, "product_index": item[top], "predicted_rating": scores[i][top]})
-
-        return item_factors.select("id", "features").mapInPandas(run, schema)
-
-    for row in asked.toLocalIterator():
-        block.append(row)
-        if len(block) == REQUEST_BLOCK:
-            out = best(block) if out is None else out.unionAll(best(block))
-            block = []
-    if block or out is None:
-        last = best(block)
-        out = last if out is None else out.unionAll(last)
-    w = Window.partitionBy("user_index").orderBy(F.desc("predicted_rating"), F.asc("product_index"))
-    return out.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= k)
+    asked = requests.select(F.col("user_index").cast("long").alias("id")).distinct()
+    return top_products(asked.join(user_factors, "id").select("id", "features"), item_factors, k)
 
 
 def with_products(scored: DataFrame, products: DataFrame, order: str = "score") -> DataFrame:
@@ -263,6 +217,30 @@ def fallback_for_unknown(users: DataFrame, known_users: DataFrame, clean: DataFr
     ).select("user_id", (F.col("pos") + 1).alias("position"), "p.product_id", "p.title", "p.avg_rating", "p.avg_price", "p.n_reviews")
 
 
+def known_by_category(clean: DataFrame, min_interactions: int = MIN_INTERACTIONS) -> DataFrame:
+    """(category, user_id) that the model of a category knows: the users of its training rows.
+
+    The activity filter of a category counts its own rows only.
+    """
+    at_least = lambda key: clean.groupBy("category", key).agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") >= min_interactions).select("category", key)
+    # written, so that AQE can split the rows of a hot user or product
+    users, products = written(at_least("user_id"), "active_users"), written(at_least("product_id"), "active_products")
+    rows = clean.select("category", "user_id", "product_id").filter(split_flag())
+    rows = rows.join(users, ["category", "user_id"], "left_semi").join(products, ["category", "product_id"], "left_semi")
+    return rows.select("category", "user_id").distinct()
+
+
+def fallback_by_category(users: DataFrame, known: DataFrame, clean: DataFrame, k: int = TOP_K) -> DataFrame:
+    """M8 on category pages: (category, user_id) that ``known`` lacks get the category's popular list (A1)."""
+    # at most k rows per category
+    lists = popular_products_by(clean, k=k)
+    unknown = users.select("category", "user_id").distinct().join(
+        known.select("category", "user_id"), ["category", "user_id"], "left_anti")
+    return unknown.join(written(lists, "popular_lists"), "category").select(
+        "category", "user_id", "position", "product_id", "title", "avg_rating", "avg_price", "n_reviews")
+
+
 def _settings(fit_args: dict) -> dict:
     """The full settings of a fit, defaults filled in."""
     known = {"min_interactions": MIN_INTERACTIONS, "train_percent": SPLIT_TRAIN_PERCENT, "rank": ALS_RANK,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
@@ -874,9 +874,83 @@ select (select count(distinct user_id) from train) as n_users, (select count(dis
 def q_als_variant_metrics(spark, sf_dir):
     """M5 + M6 + M10/M11: the variant app's model - all rows, no activity filter,
     no hold-out - scored in-sample (rows only)."""
+    f = variant(spark, sf_dir)
+    return evaluate.quality_metrics(recommend.predictions(f, on=f.train))
+
+
+_VARIANT: dict[tuple[str, str], recommend.Fitted] = {}
+
+
+def variant(spark, sf_dir) -> recommend.Fitted:
+    """M5: the variant model (all rows, no hold-out), fitted once per session and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _VARIANT:
+        _VARIANT[key] = recommend.fit_recommender(clean_table(spark, sf_dir), min_interactions=0, train_percent=100)
+    return _VARIANT[key]
+
+
+def _facts(f: recommend.Fitted, scored, k: int):
+    """Users with a list, rows, scores that are not the factors' inner product, places out of order."""
+    u, v = (m.select(F.col("id").cast("long").alias(i), F.col("features").alias(i[0]))
+            for m, i in ((f.model.userFactors, "user_index"), (f.model.itemFactors, "product_index")))
+    product = F.aggregate(F.zip_with("u", "p", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    checked = scored.join(u, "user_index").join(v, "product_index")
+    before = F.lag("predicted_rating").over(Window.partitionBy("user_index").orderBy("position"))  # k rows a user
+    checked = checked.select("user_index", "position", "predicted_rating", product.alias("product"), before.alias("before"))
+    return checked.agg(
+        F.count_distinct("user_index").alias("n_users"), F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(F.col("predicted_rating") - F.col("product")) > 1e-6).alias("n_wrong_scores"),
+        F.count_if((F.col("predicted_rating") > F.col("before")) | (F.col("position") > k)).alias("n_out_of_order"))
+
+
+def q_als_recommendation_facts(spark, sf_dir):
+    """M4 + M7 over the fitted model: every user gets ten products, scored by the factors, best first."""
+    f = fitted(spark, sf_dir)
+    scored = recommend.score_requests(f.model.userFactors, f.model.itemFactors,
+                                      f.model.userFactors.select(F.col("id").alias("user_index")))
+    return _facts(f, scored, recommend.TOP_K)
+
+
+sql_als_recommendation_facts = _with_more(_SQL_ACTIVE + f""",
+train as (select * from active where {_SQL_SPLIT}),
+n as (select count(distinct user_id) as u, count(distinct product_id) as p from train)""", f"""
+select u as n_users, u * least(p, {recommend.TOP_K}) as n_rows, cast(0 as bigint) as n_wrong_scores,
+       cast(0 as bigint) as n_out_of_order from n""")
+
+
+def q_als_variant_facts(spark, sf_dir):
+    """M5: the variant model has factors for every user and product of all rows, and scores every row."""
+    f = variant(spark, sf_dir)
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return spark.range(1).select(
+        count(f.model.userFactors).alias("n_users"), count(f.model.itemFactors).alias("n_products"),
+        count(f.train).alias("n_train"), count(f.test).alias("n_test"),
+        count(recommend.predictions(f, on=f.train)).alias("n_predicted"))
+
+
+sql_als_variant_facts = with_reviews("""
+select count(distinct user_id) as n_users, count(distinct product_id) as n_products, count(*) as n_train,
+       cast(0 as bigint) as n_test, count(*) as n_predicted from clean""")
+
+
+def q_cold_start_by_category(spark, sf_dir):
+    """M8 per category: users whom the category's model does not know get the category's popular list."""
     clean = clean_table(spark, sf_dir)
-    variant = recommend.fit_recommender(clean, min_interactions=0, train_percent=100)
-    return evaluate.quality_metrics(recommend.predictions(variant, on=variant.train))
+    known = recommend.known_by_category(clean)
+    return recommend.fallback_by_category(clean, known, clean).select(
+        "category", "user_id", "position", "product_id", "title", _r("avg_rating"))
+
+
+sql_cold_start_by_category = _with_more(f"""
+nu as (select category, user_id from clean group by all having count(*) >= {recommend.MIN_INTERACTIONS}),
+np as (select category, product_id from clean group by all having count(*) >= {recommend.MIN_INTERACTIONS}),
+known as (select distinct category, user_id from clean join nu using (category, user_id) join np using (category, product_id)
+          where {_SQL_SPLIT}),
+pop as (select *, cast(row_number() over (partition by category order by a desc, product_id, title) as integer) as position
+        from (select category, product_id, title, avg(rating) as a from clean group by all having count(rating) >= 10) s)""", """
+select u.category, u.user_id, position, product_id, title, round(a, 4) as avg_rating
+from (select distinct category, user_id from clean) u join pop using (category)
+where position <= 10 and not exists (select 1 from known k where k.category = u.category and k.user_id = u.user_id)""")
 
 
 # ---- requests: one user, one product, one category ------------------------------------
@@ -993,13 +1067,13 @@ sql_delete_unpriced = with_reviews("select review_id, product_id, price from rev
 
 
 def _request_recs(spark, sf_dir, order):
-    """M7 + M9 + J7 on factors that SQL can state: the first customer of each nation asks."""
+    """M7 + M9 + J7 on factors that SQL can state: all customers ask."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     c, p = F.col("c_custkey"), F.col("p_partkey")
     user_factors = customer.select(c.alias("id"), F.array(c % 7, c % 11, F.lit(1)).alias("features"))
     item_factors = part.select(p.alias("id"), F.array(p % 5, p % 13, p % 3).alias("features"))
-    requests = customer.groupBy("c_nationkey").agg(F.min("c_custkey").alias("user_index"))
+    requests = customer.select(c.alias("user_index"))
     scored = recommend.score_requests(user_factors, item_factors, requests)
     dimension = products.product_dimension(clean_table(spark, sf_dir)).withColumn(
         "product_index", F.col("product_id").cast("long"))
@@ -1017,7 +1091,7 @@ def q_request_recommendations_by_price(spark, sf_dir):
 
 
 _SQL_REQUESTS = """,
-req as (select min(c_custkey) as user_index from customer group by c_nationkey),
+req as (select c_custkey as user_index from customer),
 sc as (select user_index, p_partkey as product_index,
               cast((user_index % 7) * (p_partkey % 5) + (user_index % 11) * (p_partkey % 13) + p_partkey % 3 as double)
               as predicted_rating from req, part),
@@ -1122,5 +1196,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "als_recommendations_by_price": (q_als_recommendations_by_price, None),
     "als_facts": (q_als_facts, sql_als_facts),
     "als_metrics": (q_als_metrics, None),
+    "als_recommendation_facts": (q_als_recommendation_facts, sql_als_recommendation_facts),
+    "als_variant_facts": (q_als_variant_facts, sql_als_variant_facts),
+    "cold_start_by_category": (q_cold_start_by_category, sql_cold_start_by_category),
     "als_variant_metrics": (q_als_variant_metrics, None),
 }

@@ -7,9 +7,6 @@ import pytest
 from revlens.plans.registry import REGISTRY
 from tests.conftest import SF001
 
-MODEL = {"als_recommendations", "als_recommendations_by_price", "als_metrics", "als_facts", "als_variant_metrics"}
-
-
 def _plan(spark, name):
     df = REGISTRY[name][0](spark, SF001)
     return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
@@ -19,7 +16,7 @@ def _nodes(plan, name):
     return len(re.findall(rf"^\(\d+\) {name}\b", plan, flags=re.M))
 
 
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - MODEL))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_cross_joins(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan

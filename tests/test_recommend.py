@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from revlens.operators import evaluate, recommend
+from revlens.operators import evaluate, inner_topk, recommend
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.plans.tables import clean_table
@@ -145,20 +145,44 @@ def test_fit_does_not_follow_the_parallelism(spark, clean):
     assert recommend.make_als(blocks=3).getNumUserBlocks() == 3
 
 
-def test_score_requests_matches_brute_force(spark, monkeypatch):
+def _factors(spark, x):
+    return spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, features array<float>")
+
+
+@pytest.mark.parametrize("group, k", [(7, 6), (16, 1), (None, 100)])
+def test_top_products_match_brute_force(spark, monkeypatch, group, k):
+    for name, value in (("HEAD", 5), ("USER_BLOCK", 4), ("ITEM_BLOCK", 9)):
+        monkeypatch.setattr(inner_topk, name, value)
     rng = np.random.default_rng(1)
     users, items = rng.integers(-3, 4, (50, 4)), rng.integers(-3, 4, (70, 4))
-    table = lambda x: spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, features array<float>")
-    asked = [3, 3, 7, 49, 1000]
-    monkeypatch.setattr(recommend, "REQUEST_BLOCK", 2)
-    got = recommend.score_requests(table(users), table(items).repartition(5), spark.createDataFrame([(i,) for i in asked], "user_index long"), 6)
+    users[5] = 0  # scores 0 with every product
+    items *= rng.integers(1, 5, (70, 1))  # products of different lengths
+    got = inner_topk.top_products(_factors(spark, users), _factors(spark, items).repartition(5), k, group)
     rows = sorted((r.user_index, r.position, r.product_index, r.predicted_rating) for r in got.collect())
     want = []
-    for u in (3, 7, 49):
+    for u in range(50):
         scores = items @ users[u]
-        want += [(u, n + 1, int(i), float(scores[i])) for n, i in enumerate(np.lexsort((np.arange(70), -scores))[:6])]
+        want += [(u, n + 1, int(i), float(scores[i])) for n, i in enumerate(np.lexsort((np.arange(70), -scores))[:k])]
     assert rows == want
-    assert recommend.score_requests(table(users), table(items), spark.createDataFrame([], "user_index long")).count() == 0
+
+
+def test_tiles_out_of_reach_are_skipped(spark):
+    """Short products cannot reach the tenth score, so their tiles are not there."""
+    users = spark.createDataFrame([(i, i // 8, 5.0 + i / 100) for i in range(16)], "id long, gu long, need double")
+    items = spark.createDataFrame([(g, n) for g, n in enumerate([9.0, 6.0, 5.05, 1.0])], "gi long, norm double")
+    met = sorted(map(tuple, inner_topk.tiles(users, items).collect()))
+    assert met == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1)]
+
+
+def test_score_requests(spark):
+    rng = np.random.default_rng(2)
+    users, items = _factors(spark, rng.random((30, 3))), _factors(spark, rng.random((40, 3)))
+    asked = spark.createDataFrame([(i,) for i in (3, 3, 7, 29, 1000)], "user_index long")  # a repeat, an unknown one
+    got = recommend.score_requests(users, items, asked, 6).collect()
+    every = inner_topk.top_products(users, items, 6).filter(F.col("user_index").isin(3, 7, 29)).collect()
+    assert sorted(got) == sorted(every) and len(got) == 18
+    assert recommend.score_requests(users, items, asked.limit(0)).count() == 0
+    assert recommend.score_requests(users, items.limit(0), asked).count() == 0
 
 
 def test_hot_user_is_split_in_the_activity_filter(spark):
