@@ -13,8 +13,8 @@ one-anchor form, which needs no all-pairs step:
 
 The join on the term is an ordinary equi-join: Spark broadcasts the anchor
 side when its measured size allows and AQE splits a hot term otherwise.
-The weight table is written once (checkpoint) instead of re-tokenising every
-review for each use.
+The weight table is written once instead of re-tokenising every review for
+each use.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.session import shared_dir, written
+from revlens.session import written
 
 # Fixed value: what separates terms.
 TERM_SPLIT = "[^\\p{L}\\p{N}]+"
@@ -49,19 +49,26 @@ def term_weights(df: DataFrame) -> DataFrame:
 def similar_by_content(df: DataFrame, product_id: str, k: int = 10) -> DataFrame:
     """Top-k products by TF-IDF cosine with ``product_id`` (itself excluded).
 
-    The weight table is checkpointed once (it feeds the anchor, its norm and
-    the main pass); one pass over it - a left join with the anchor's terms -
-    gives every product's norm and dot product together.
+    The weight table is written once (it feeds the anchor, the norms and the
+    main pass); pages keep it and the norms across requests
+    (:mod:`revlens.plans.artefacts`).
     """
-    shared_dir(df.sparkSession)
-    w = term_weights(df).checkpoint(eager=True)
-    anchor = w.filter(F.col("product_id") == F.lit(product_id)).select("term", F.col("w").alias("wa"))
-    anchor_norm = anchor.select(F.sqrt(F.sum(F.col("wa") * F.col("wa")))).scalar()
-    per_product = w.join(anchor, "term", "left").groupBy("product_id").agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-        F.sum(F.col("w") * F.col("wa")).alias("dot"),  # null when no term is shared
-    )
-    cos = per_product.filter((F.col("product_id") != F.lit(product_id)) & F.col("dot").isNotNull()).select(
+    w = written(term_weights(df), "term_weights")
+    return similar_by_weights(w, norms(w), product_id, k)
+
+
+def norms(weights: DataFrame) -> DataFrame:
+    """(product_id, norm) of a weight table."""
+    return weights.groupBy("product_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+
+def similar_by_weights(weights: DataFrame, norm: DataFrame, product_id: str, k: int = 10) -> DataFrame:
+    """:func:`similar_by_content` over stored weights and norms: only the anchor's terms are summed."""
+    anchor = weights.filter(F.col("product_id") == F.lit(product_id)).select("term", F.col("w").alias("wa"))
+    anchor_norm = norm.filter(F.col("product_id") == F.lit(product_id)).select("norm").scalar()
+    others = weights.filter(F.col("product_id") != F.lit(product_id))
+    dot = others.join(anchor, "term").groupBy("product_id").agg(F.sum(F.col("w") * F.col("wa")).alias("dot"))
+    cos = dot.join(norm, "product_id").select(
         "product_id", F.try_divide(F.col("dot"), F.col("norm") * anchor_norm).alias("cosine")
     ).filter(F.col("cosine").isNotNull())
     # rank on 9 places so that equal cosines computed in a different order tie

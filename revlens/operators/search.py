@@ -11,6 +11,11 @@ from revlens.operators.products import PRODUCT_KEYS, product_stats
 
 
 def search_products(df: DataFrame, term: str, literal: bool = False) -> DataFrame:
+    """P15 over reviews; :func:`search_catalogue` is the same over a stored catalogue."""
+    return search_catalogue(df.select(*PRODUCT_KEYS).distinct(), term, literal)
+
+
+def search_catalogue(catalogue: DataFrame, term: str, literal: bool = False) -> DataFrame:
     """Catalogue entries whose label ``title (product_id)`` matches ``term``.
 
     Case-insensitive regular expression (Java dialect, Unicode case); an empty term matches
@@ -18,7 +23,7 @@ def search_products(df: DataFrame, term: str, literal: bool = False) -> DataFram
     searches the plain text instead.
     """
     label = product_label()
-    cat = df.select(*PRODUCT_KEYS).distinct().select(*PRODUCT_KEYS, label.alias("label"))
+    cat = catalogue.select(*PRODUCT_KEYS, label.alias("label"))
     if literal:
         cond = F.contains(F.lower(F.col("label")), F.lower(F.lit(term)))
     else:
@@ -36,7 +41,11 @@ def similar_products(df: DataFrame, title: str, k: int = 10, threshold: int = SI
     (both sides share one exchange), then a top-k.  A matching product id
     brings all its titles, as in the reference; the anchor itself is included.
     """
-    stats = product_stats(df)
+    return similar_in(product_stats(df), title, k, threshold)
+
+
+def similar_in(stats: DataFrame, title: str, k: int = 10, threshold: int = SIMILARITY_THRESHOLD) -> DataFrame:
+    """:func:`similar_products` over (stored) statistics per (product_id, title)."""
     matched = similar_to(stats, "title", F.lit(title), threshold).select("product_id").distinct()
     return (
         stats.join(matched, "product_id", "left_semi")
@@ -47,4 +56,9 @@ def similar_products(df: DataFrame, title: str, k: int = 10, threshold: int = SI
 
 def similar_titles(df: DataFrame, title: str, threshold: int = SIMILARITY_THRESHOLD) -> DataFrame:
     """X2 catalogue step alone: (product_id, title, score) of every title above the threshold."""
-    return similar_to(df.select(*PRODUCT_KEYS).distinct(), "title", F.lit(title), threshold)
+    return similar_titles_in(df.select(*PRODUCT_KEYS).distinct(), title, threshold)
+
+
+def similar_titles_in(catalogue: DataFrame, title: str, threshold: int = SIMILARITY_THRESHOLD) -> DataFrame:
+    """:func:`similar_titles` over a (stored) catalogue of distinct entries."""
+    return similar_to(catalogue.select(*PRODUCT_KEYS), "title", F.lit(title), threshold)

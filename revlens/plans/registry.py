@@ -17,8 +17,9 @@ from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
 from revlens.operators import content, evaluate, products, recommend, search, similar, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
+from revlens.plans.artefacts import Artefacts
 from revlens.plans.tables import clean_table, stored_path, stored_reviews
-from revlens.session import scratch_path, written
+from revlens.session import scratch_path, shared_dir, written
 from revlens.sources import export, files, raw
 from revlens.sources.testview import with_reviews
 
@@ -444,8 +445,13 @@ union all select 'Reviews', n from o""")
 # ---- search and similar titles -------------------------------------------------------
 
 
+def _kept(spark, sf_dir) -> Artefacts:
+    """The artefacts of the stored review table."""
+    return Artefacts(spark, stored_path(spark, sf_dir), f"{shared_dir(spark)}/revlens/artefacts")
+
+
 def q_product_search(spark, sf_dir):
-    return search.search_products(clean_table(spark, sf_dir), SEARCH_TERM)
+    return search.search_catalogue(_kept(spark, sf_dir).statistics(), SEARCH_TERM)
 
 
 sql_product_search = with_reviews(f"""
@@ -454,21 +460,21 @@ from (select distinct product_id, title from clean) c
 where title is not null and regexp_matches(concat(title, ' (', product_id, ')'), '(?i){SEARCH_TERM}')""")
 
 
-def _anchor_title(clean: DataFrame) -> str:
-    """Title of the most-reviewed product (ties: smallest id) - one value."""
-    row = products.product_stats(clean).orderBy(F.desc("n_reviews"), "product_id", "title").select("title").first()
+def _anchor(stats: DataFrame, column: str) -> str:
+    """Title or id of the most-reviewed product (ties: smallest id) - one value."""
+    row = stats.orderBy(F.desc("n_reviews"), "product_id", "title").select(column).first()
     return row[0] if row else ""
 
 
 def q_similar_products(spark, sf_dir):
-    clean = clean_table(spark, sf_dir)
-    return search.similar_products(clean, _anchor_title(clean)).select(
+    stats = _kept(spark, sf_dir).statistics()
+    return search.similar_in(stats, _anchor(stats, "title")).select(
         "product_id", "title", "n_reviews", _r("avg_rating"), _r("avg_price"))
 
 
 def q_similar_titles(spark, sf_dir):
-    clean = clean_table(spark, sf_dir)
-    return search.similar_titles(clean, _anchor_title(clean))
+    stats = _kept(spark, sf_dir).statistics()
+    return search.similar_titles_in(stats, _anchor(stats, "title"))
 
 
 def _sql_norm(c: str) -> str:
@@ -532,7 +538,7 @@ group by product_id, title order by avg(rating) desc, product_id, title limit 10
 
 def q_similar_products_all(spark, sf_dir):
     """The ten most similar products of every product, by title."""
-    return similar.most_similar(products.product_catalog(clean_table(spark, sf_dir)))
+    return similar.most_similar(_kept(spark, sf_dir).statistics())
 
 
 # the order part of the score over what the common tokens leave, if its common characters allow it to count
@@ -565,17 +571,11 @@ ranked as (select product_id, title, similar_id, m.t as similar_title, cast(-m.r
            from best)""", "select * from ranked where position <= 10")
 
 
-def _anchor_product(clean: DataFrame) -> str:
-    """Id of the most-reviewed product (ties: smallest id) - one value."""
-    row = products.product_stats(clean).orderBy(F.desc("n_reviews"), "product_id", "title").select(
-        "product_id").first()
-    return row[0] if row else ""
-
-
 def q_content_similar(spark, sf_dir):
     """The ten products closest in TF-IDF cosine to the anchor product."""
-    clean = clean_table(spark, sf_dir)
-    return content.similar_by_content(clean, _anchor_product(clean)).select(
+    kept = _kept(spark, sf_dir)
+    anchor = _anchor(kept.statistics(), "product_id")
+    return content.similar_by_weights(kept.term_weights(), kept.norms(), anchor).select(
         "product_id", _r("cosine", 6), "position")
 
 
@@ -774,9 +774,7 @@ select round(1 - rmse / 5, 6) as rmse_score, round(1 - mae / 5, 6) as mae_score,
 
 
 def q_product_lookup(spark, sf_dir):
-    clean = clean_table(spark, sf_dir)
-    idx = recommend.index_interactions(clean)
-    return recommend.product_lookup(idx, clean).select("product_index", "product_id", "title", "price")
+    return _kept(spark, sf_dir).product_lookup().select("product_index", "product_id", "title", "price")
 
 
 sql_product_lookup = _with_more(_SQL_ACTIVE, """
@@ -790,9 +788,7 @@ join (select product_id, title, price from (
 
 
 def q_user_lookup(spark, sf_dir):
-    clean = clean_table(spark, sf_dir)
-    idx = recommend.index_interactions(clean)
-    return recommend.user_lookup(idx, clean).select("user_index", "user_id", "user_name")
+    return _kept(spark, sf_dir).user_lookup().select("user_index", "user_id", "user_name")
 
 
 sql_user_lookup = _with_more(_SQL_ACTIVE, """
@@ -982,8 +978,7 @@ sql_product_page = with_reviews(_SQL_PRODUCT)
 
 def q_user_index_of(spark, sf_dir):
     """The index row of one user."""
-    index = dense_index(_active(spark, sf_dir), "user_id", "user_index")
-    return users.user_lookup(index, USER)
+    return users.user_lookup(_kept(spark, sf_dir).index("user_id"), USER)
 
 
 sql_user_index_of = _with_more(_SQL_ACTIVE, f"""

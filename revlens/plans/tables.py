@@ -19,11 +19,22 @@ from revlens.session import scratch_path
 from revlens.sources.files import path_exists, write_review_table
 from revlens.sources.testview import review_view
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, os.path.abspath(sf_dir)
+SOURCES = ("lineitem", "orders", "part", "customer")
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Session, folder and the state of its tables: a changed table is ingested again."""
+    sc = spark.sparkContext
+    states = []
+    for name in SOURCES:
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            states.append((name, fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()))
+    return sc.applicationId, os.path.abspath(sf_dir), *states
 
 
 def ingest_view(spark: SparkSession, sf_dir: str) -> str:
