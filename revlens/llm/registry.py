@@ -80,15 +80,20 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs, "source")
 
 
+_Z2 = line_dedup.CONFIDENCE_Z * line_dedup.CONFIDENCE_Z
+
 OP3_SQL = f"""
 with p as (select row_number() over () as rid, doc_id, source, text from documents),
 l as (select rid, doc_id, source, unnest(string_split(text, chr(10))) as line,
              generate_subscripts(string_split(text, chr(10)), 1) as pos from p),
-n as (select source, count(*) as total from p group by source),
-c as (select source, trim(line, ' ') as line, count(distinct rid) as n from l
-      where trim(line, ' ') <> '' group by all having count(distinct rid) >= {line_dedup.MIN_PAGES}),
+u as (select source, text, row_number() over () as uid from (select distinct source, text from documents) x),
+n as (select source, count(*)::double as total from u group by source),
+ul as (select uid, source, unnest(string_split(text, chr(10))) as line from u),
+c as (select source, trim(line, ' ') as line, count(distinct uid)::double as n from ul
+      where trim(line, ' ') <> '' group by all having count(distinct uid) >= {line_dedup.MIN_PAGES}),
 b as (select c.source, c.line from c join n on c.source is not distinct from n.source
-      where c.n > n.total * {line_dedup.BOILERPLATE_RATIO}),
+      where (c.n / n.total + {_Z2} / (2 * n.total) - {line_dedup.CONFIDENCE_Z} * sqrt(c.n / n.total * (1 - c.n / n.total)
+             / n.total + {_Z2} / (4 * n.total * n.total))) / (1 + {_Z2} / n.total) > {line_dedup.BOILERPLATE_RATIO}),
 k as (select l.rid, string_agg(l.line, chr(10) order by l.pos) filter (b.line is null) as text,
              count(*) as n_lines, count(b.line) as n_dropped
       from l left join b on l.source is not distinct from b.source and trim(l.line, ' ') = b.line group by l.rid)

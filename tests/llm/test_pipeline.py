@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from revlens.llm import decontamination, line_dedup
+from revlens.llm import decontamination
+from tests.llm.test_line_dedup import boilerplate, line_hashes, near_labels
 from tests.llm.test_simhash import slow_components, slow_fingerprint
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -59,12 +60,8 @@ def test_stages(spark, folder):
     assert len({i for i in range(500) if i % 7 == 0} & kept) <= 2 and len({i for i in range(500) if i % 7} - kept) <= 2
 
     clean, after = step("line dedup", good)
-    total, count = {}, {}
-    for r in rows:
-        total[r.source] = total.get(r.source, 0) + 1
-        for x in {x.strip(" ") for x in (r.text or "").split("\n")} - {""}:
-            count[r.source, x] = count.get((r.source, x), 0) + 1
-    gone = {k for k, n in count.items() if n >= line_dedup.MIN_PAGES and n > line_dedup.BOILERPLATE_RATIO * total[k[0]]}
+    page = near_labels([(r.source, r.text) for r in rows], line_hashes(spark, [r.text for r in rows]))
+    gone = boilerplate([(r.source, c, r.text) for r, c in zip(rows, page)])
     assert any(x == "All rights kept here." for _, x in gone)
     want = [(r.doc_id, None if r.text is None else "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" ")) not in gone)) for r in rows]
     assert key(after) == sorted(want, key=str)
