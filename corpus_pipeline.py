@@ -22,9 +22,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines; n_chars follows the text.
 
-    Exact copies count as one page, else a large group of them would lose all its lines.
+    A class of near copies counts as one page, else a large group of them would lose all its lines
+    before one of it is kept.
     """
-    cleaned = line_dedup.drop_boilerplate(docs, "source", counts=False, copies=False)
+    cleaned = line_dedup.drop_boilerplate(docs, "source", counts=False, near=True)
     chars = F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.select(*[chars.alias(n) if n == "n_chars" else c for n, c in zip(cleaned.columns, columns(cleaned))])
 
