@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
-from revlens.operators import content, evaluate, products, recommend, search, similar, summary, timeline, upsert, users
+from revlens.operators import content, content_all, evaluate, products, recommend, search, similar, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.plans.artefacts import Artefacts
@@ -604,6 +604,23 @@ ranked as (select product_id, c, cast(row_number() over (order by round(c, 9) de
 "select product_id, round(c, 6) as cosine, position from ranked where position <= 10")
 
 
+def q_content_similar_all(spark, sf_dir):
+    """D1 for every product: the ten products of largest TF-IDF cosine."""
+    kept = _kept(spark, sf_dir)
+    best = content_all.most_similar_by_content(kept.term_weights(), kept.norms())
+    return best.select("product_id", "similar_id", _r("cosine", 6), "position")
+
+
+sql_content_similar_all = (
+    sql_content_similar[:sql_content_similar.index("a as (select term, w as wa")]
+    + """u as materialized (select product_id, term, w / norm as v from w join norms using (product_id) where w > 0),
+dots as (select a.product_id, b.product_id as similar_id, round(sum(a.v * b.v), 9) as c
+         from u a join u b on a.term = b.term and a.product_id <> b.product_id group by 1, 2),
+ranked as (select *, cast(row_number() over (partition by product_id order by c desc, similar_id) as integer) as position
+           from dots where c > 0)
+select product_id, similar_id, round(c, 6) as cosine, position from ranked where position <= 10""")
+
+
 # ---- ingest, files, exports --------------------------------------------------------
 
 
@@ -1159,6 +1176,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "similar_products": (q_similar_products, sql_similar_products),
     "similar_products_all": (q_similar_products_all, sql_similar_products_all),
     "content_similar": (q_content_similar, sql_content_similar),
+    "content_similar_all": (q_content_similar_all, sql_content_similar_all),
     "clean_reviews": (q_clean_reviews, sql_clean_reviews),
     "raw_roundtrip": (q_raw_roundtrip, sql_raw_roundtrip),
     "raw_ingest_report": (q_raw_ingest_report, sql_raw_ingest_report),
