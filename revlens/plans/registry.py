@@ -21,6 +21,7 @@ from revlens.plans.artefacts import Artefacts
 from revlens.plans.tables import clean_table, stored_path, stored_reviews
 from revlens.session import scratch_path, shared_dir, written
 from revlens.sources import export, files, raw
+from revlens.sources.store import ReviewStore
 from revlens.sources.testview import with_reviews
 
 # The analysis period used by the period queries (the app's
@@ -686,15 +687,19 @@ sql_export_sample = with_reviews(f"""
 select review_id, product_id, user_id, rating, price, review_time from clean
 order by md5(review_id), review_id limit {SAMPLE_ROWS}""")
 
+def _price_changes(spark, sf_dir):
+    """The rows of unknown price, with the list price of the part."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_retailprice").cast("float").alias("_list"))
+    return (stored_reviews(spark, sf_dir).filter(F.col("price").isNull()).join(part, "product_id")
+            .withColumn("price", F.col("_list")).drop("_list"))
+
+
 def q_price_corrections(spark, sf_dir):
     """Reviews stored with an unknown price are replaced by corrected rows
     (list price of the part), keyed by review_id."""
-    stored = stored_reviews(spark, sf_dir)
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_retailprice").cast("float").alias("_list"))
-    changes = (stored.filter(F.col("price").isNull()).join(part, "product_id")
-               .withColumn("price", F.col("_list")).drop("_list"))
-    return upsert.upsert(stored, changes).select("review_id", "product_id", "price", "rating", "category")
+    changed = upsert.upsert(stored_reviews(spark, sf_dir), _price_changes(spark, sf_dir))
+    return changed.select("review_id", "product_id", "price", "rating", "category")
 
 
 sql_price_corrections = with_reviews("""
@@ -702,6 +707,34 @@ select review_id, product_id, coalesce(price, cast(p_retailprice as float)) as p
 from reviews join part on product_id = cast(p_partkey as varchar)""")
 
 
+def _new_store(spark, sf_dir) -> ReviewStore:
+    store = ReviewStore(spark, scratch_path(spark, "store"))
+    store.add(stored_reviews(spark, sf_dir))
+    return store
+
+
+def q_store_after_change(spark, sf_dir):
+    """D2 in place: the price corrections committed to a store, its latest version read."""
+    store = _new_store(spark, sf_dir)
+    store.change(_price_changes(spark, sf_dir))
+    return store.read().select("review_id", "product_id", "price", "rating", "category")
+
+
+def q_store_after_delete(spark, sf_dir):
+    """D2 in place: the reviews of the first category without a price deleted; both versions counted by category."""
+    store = _new_store(spark, sf_dir)
+    first = stored_reviews(spark, sf_dir).agg(F.min("category")).scalar()
+    store.remove(stored_reviews(spark, sf_dir).filter(F.col("price").isNull() & (F.col("category") == first)))
+    count = lambda v, name: store.read(v).groupBy("category").agg(F.count(F.lit(1)).alias(name))
+    return count(1, "before").join(count(None, "after"), "category")
+
+
+sql_store_after_delete = with_reviews("""
+select category, count(*) as before,
+       count(*) filter (price is not null or category <> (select min(category) from reviews)) as after
+from reviews group by category""")
+
+
 # ---- recommendation data flow --------------------------------------------------------
 
 
@@ -1183,6 +1216,8 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "csv_roundtrip": (q_csv_roundtrip, sql_csv_roundtrip),
     "export_sample": (q_export_sample, sql_export_sample),
     "price_corrections": (q_price_corrections, sql_price_corrections),
+    "store_after_change": (q_store_after_change, sql_price_corrections),
+    "store_after_delete": (q_store_after_delete, sql_store_after_delete),
     "activity_filter": (q_activity_filter, sql_activity_filter),
     "user_index": (q_user_index, sql_user_index),
     "product_index": (q_product_index, sql_product_index),
