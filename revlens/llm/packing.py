@@ -56,7 +56,7 @@ GAP = 0.001
 CUT_GAP = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 250_000
+CACHE_WORDS = 80_000
 CACHE_CHARS = 32
 BLOCK_CHARS = 1 << 20
 RANK_BLOCK = 4096
