@@ -6,14 +6,19 @@ edits.  Cut into k + 1 pieces, at least one piece lies in the passage unchanged
 find every candidate; each is verified with Myers' bit-parallel edit distance
 over the window around the hit.
 
-The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters; each
-block's automaton is part of one pass over the documents, so what a task holds
-is bounded whatever the benchmark's size, and documents are never shuffled by
-piece: a piece that is frequent in the corpus costs only where it occurs.
+The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters (one
+longer item is a block of its own).  One block is a pass over the documents.
+Where there are more, the documents are written once with a row number, every
+block is a pass of its own that writes its matches alone, and these are merged
+by row number, so a task and the driver hold one block at a time.  Documents
+are never shuffled by piece: a piece that is frequent in the corpus costs only
+where it occurs.
 
 Comparison is on normalised text: lower case, any white space as a blank, one
 character for one, so spans are code points of the original text.  Windows of
-one item in one document are joined before they are verified.
+one item in one document are joined before they are verified.  Every occurrence
+in a window is reported: ends within the budget are taken by distance, then by
+place, unless their span overlaps one that is taken (:func:`occurrences`).
 
 Defined cases: null and empty texts match nothing; null, empty and
 blank items are never found; items shorter than ``MIN_ITEM_CHARS`` must match
@@ -23,6 +28,7 @@ a row each; no documents or no items, no matches.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,7 +36,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import columns, free_name
+from revlens.llm.common import columns, free_name, written
+from revlens.session import scratch_path
 
 ERROR_RATE = 0.06
 MIN_ITEM_CHARS = 30
@@ -62,11 +69,10 @@ def cut(item: str, k: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(edges, edges[1:])]
 
 
-def myers(item: str, text: str, k: int) -> tuple[int, int] | None:
-    """(distance, end) of the best occurrence of ``item`` within ``text`` with at most k edits.
+def myers(item: str, text: str, k: int) -> list[tuple[int, int]]:
+    """(distance, end) of every end in ``text`` where ``item`` occurs with at most k edits.
 
-    Myers' algorithm with one bit per character of the item; the first of
-    equally good ends.
+    Myers' algorithm with one bit per character of the item.
     """
     m = len(item)
     masks: dict[str, int] = {}
@@ -74,7 +80,7 @@ def myers(item: str, text: str, k: int) -> tuple[int, int] | None:
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
     plus, minus, score = full, 0, m
-    best, end = (k + 1, -1) if m > k else (m, 0)
+    ends = [(m, 0)] if m <= k else []
     get = masks.get
     for j, c in enumerate(text, 1):
         eq = get(c, 0)
@@ -89,9 +95,30 @@ def myers(item: str, text: str, k: int) -> tuple[int, int] | None:
         up = up << 1 & full
         plus = ((down << 1) | ~(x | up)) & full
         minus = up & x
-        if score < best:
-            best, end = score, j
-    return (best, end) if best <= k else None
+        if score <= k:
+            ends.append((score, j))
+    return ends
+
+
+def occurrences(item: str, text: str, k: int) -> list[tuple[int, int, int]]:
+    """(start, end, distance) of the occurrences of ``item`` in ``text`` with at most k edits, none overlapping.
+
+    Ends are taken by distance, then by place; an end's span is the shortest at its distance.  A span
+    that overlaps one that is taken is left out.
+    """
+    taken: list[tuple[int, int, int]] = []
+    least = max(1, len(item) - k)  # no span is shorter
+    for distance, end in sorted(myers(item, text, k)):
+        at = bisect_left(taken, (end,))
+        # the neighbours by start: the span before must end, and the one after must start, outside
+        before = taken[at - 1][1] if at else 0
+        if end - least < before:
+            continue
+        back = text[max(0, end - len(item) - k):end][::-1]
+        start = end - (shortest_prefix(item[::-1], back, distance) if distance else len(item))
+        if start >= before:
+            taken.insert(at, (start, end, distance))
+    return taken
 
 
 class Matcher:
@@ -115,33 +142,40 @@ class Matcher:
         if self.empty or not text:
             return []
         text = normalise(text)
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, list[tuple[int, int]]] = {}
         for last, (length, uses) in self.automaton.iter(text):
             for at, offset in uses:
                 _, item, k = self.items[at]
                 lo = last + 1 - length - offset - k
                 hi = lo + len(item) + 2 * k
                 held = windows.setdefault(at, [])
-                if held and lo <= held[-1][1]:
-                    held[-1] = [min(lo, held[-1][0]), max(hi, held[-1][1])]
+                if held and held[-1][0] <= lo <= held[-1][1]:
+                    held[-1] = (held[-1][0], max(hi, held[-1][1]))
                 else:
-                    held.append([lo, hi])
+                    held.append((lo, hi))
         out = []
-        for at, spans in windows.items():
+        for at, held in windows.items():
             item_id, item, k = self.items[at]
-            for lo, hi in spans:
+            for lo, hi in joined(held):
                 lo = max(0, lo)
                 if not k:
                     out += [(item_id, at, at + len(item), 0) for at in whole_words(item, text, lo, hi)]
-                elif got := myers(item, text[lo:hi], k):
-                    # the start: the same distance read backwards from the end
-                    end = lo + got[1]
-                    back = text[max(0, end - len(item) - k):end][::-1]
-                    start = end - (shortest_prefix(item[::-1], back, got[0]) if got[0] else len(item))
-                    out.append((item_id, start, end, got[0]))
+                else:
+                    out += [(item_id, lo + a, lo + b, d) for a, b, d in occurrences(item, text[lo:hi], k)]
         return sorted(out, key=lambda x: (x[1], x[0] is None, x[0]))
 
 
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans by start, those that touch or overlap made one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def whole_words(item: str, text: str, lo: int, hi: int) -> Iterator[int]:
     """Starts of exact occurrences between word borders."""
     at = text.find(item, lo, hi)
@@ -183,15 +217,32 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                item_text: str = "text", rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS,
                into: str = "matches") -> DataFrame:
     """``docs`` plus ``into``: the items found in each text, by start."""
-    out, parts = docs, []
-    for items in blocks(benchmark, item_id, item_text, block_chars):
-        # at most block_chars characters
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-        name = free_name(out, f"_matches_{len(parts)}")
-        out = out.withColumn(name, F.pandas_udf(_finder(shared, rate), MATCH)(F.col(text)))
-        parts.append(name)
-    matches = F.concat(*parts) if parts else F.from_json(F.lit("[]"), MATCH)
-    return out.select(*columns(docs), F.array_sort(matches, _by_start).alias(into))
+    found = blocks(benchmark, item_id, item_text, block_chars)
+    first, second = next(found, None), next(found, None)
+    if second is None:
+        matches = _matches(docs, first, rate, text) if first else F.from_json(F.lit("[]"), MATCH)
+        return docs.select(*columns(docs), F.array_sort(matches, _by_start).alias(into))
+    row = free_name(docs, "_row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "decontamination", "documents")
+    path = scratch_path(docs.sparkSession, "llm", "decontamination", "matches")
+    while first:
+        hits = numbered.select(row, _matches(numbered, first, rate, text).alias("m")).filter(F.size("m") > 0)
+        hits.write.mode("append").parquet(path)
+        first, second = second, next(found, None)
+    merged = docs.sparkSession.read.schema(f"{row} long, m {MATCH}").parquet(path).groupBy(row).agg(
+        F.flatten(F.collect_list("m")).alias("_merged"))  # the matches of one text
+    merged = merged.withColumnsRenamed({row: "_of", "_merged": into + "_"})
+    matches = F.coalesce(merged[into + "_"], F.from_json(F.lit("[]"), MATCH))
+    out = numbered.join(merged, numbered[row] == merged["_of"], "left")
+    return out.select(*[numbered["`" + c.replace("`", "``") + "`"] for c in docs.columns],
+                      F.array_sort(matches, _by_start).alias(into))
+
+
+def _matches(docs: DataFrame, items: list[tuple[int, str]], rate: float, text: str):
+    """The items of one block found in each text, as a column."""
+    # at most block_chars characters, or one item
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+    return F.pandas_udf(_finder(shared, rate), MATCH)(F.col(text))
 
 
 def _finder(shared, rate: float):
