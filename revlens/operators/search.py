@@ -1,4 +1,10 @@
-"""Product search and similar products."""
+"""Product search and similar products.
+
+The search has an index: a posting table of the three-character pieces of every
+label.  A pattern's fixed text gives the pieces that a match must hold; only the
+entries that hold them are matched against the pattern.  A pattern without such
+text scans the catalogue, so both ways return the same rows.
+"""
 
 from __future__ import annotations
 
@@ -31,6 +37,67 @@ def search_catalogue(catalogue: DataFrame, term: str, literal: bool = False) ->
     return cat.filter(F.col("label").isNotNull() & cond)
 
 
+# Length of the pieces, and the characters beyond A-Z that Unicode case folding takes to an ASCII letter.
+GRAM = 3
+FOLDED, FOLDS_TO = "\u0130\u0131\u017f\u212a", "iisk"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def label_grams(catalogue: DataFrame) -> DataFrame:
+    """(gram, product_id, title): every distinct ASCII piece of each entry's folded label."""
+    folded = F.translate("label", _UPPER + FOLDED, _LOWER + FOLDS_TO)
+    starts = F.sequence(F.lit(1), F.length("folded") - GRAM + 1)
+    pieces = F.transform(starts, lambda i: F.substring(F.col("folded"), i, F.lit(GRAM)))
+    entries = catalogue.select(*PRODUCT_KEYS, product_label().alias("label")).filter(F.length("label") >= GRAM)
+    return (
+        entries.select(*PRODUCT_KEYS, folded.alias("folded"))
+        .select(F.explode(F.array_distinct(pieces)).alias("gram"), *PRODUCT_KEYS)
+        .filter(F.col("gram").rlike(r"\A[\x00-\x7F]+\z"))
+    )
+
+
+def required_grams(term: str, literal: bool = False) -> list[set[str]] | None:
+    """For each alternative of ``term`` the pieces that every match holds; None if one has none.
+
+    Groups, classes, escapes and counted repeats are not read: such a pattern has None.
+    """
+    if literal:
+        alternatives = [_ascii_runs(term.lower(), "")]
+    elif set(term) & set("\\()[]{}"):
+        return None
+    else:
+        alternatives = [_ascii_runs(part, ".^$?*+") for part in term.split("|")]
+    found = [{run[i:i + GRAM] for run in runs for i in range(len(run) - GRAM + 1)} for runs in alternatives]
+    return found if all(found) else None
+
+
+def _ascii_runs(text: str, special: str) -> list[str]:
+    """The runs of ASCII characters, lower case, that stand for themselves in ``text``."""
+    runs, run = [], ""
+    for c in text:
+        if c in special or c > "\x7f":
+            # an optional character is not part of the run before it
+            runs.append(run[:-1] if c in special and c in "?*" else run)
+            run = ""
+        else:
+            run += c.translate(str.maketrans(_UPPER, _LOWER))
+    return [*runs, run]
+
+
+def search_indexed(grams: DataFrame, catalogue: DataFrame, term: str, literal: bool = False) -> DataFrame:
+    """:func:`search_catalogue` over the entries that hold the pieces ``term`` needs (see :func:`label_grams`)."""
+    needed = required_grams(term, literal)
+    if needed is None:
+        return search_catalogue(catalogue, term, literal)
+    asked = grams.filter(F.col("gram").isin(sorted(set().union(*needed))))
+    # at most the pattern's pieces per entry
+    held = asked.groupBy(*PRODUCT_KEYS).agg(F.collect_set("gram").alias("held"))
+    fits = F.lit(False)
+    for pieces in needed:
+        fits = fits | (F.size(F.array_intersect("held", F.array(*map(F.lit, sorted(pieces))))) == len(pieces))
+    return search_catalogue(held.filter(fits), term, literal)
+
+
 def similar_products(df: DataFrame, title: str, k: int = 10, threshold: int = SIMILARITY_THRESHOLD) -> DataFrame:
     """X2 + J6 + A8: products whose title scores above ``threshold`` against ``title``.
 

@@ -452,7 +452,8 @@ def _kept(spark, sf_dir) -> Artefacts:
 
 
 def q_product_search(spark, sf_dir):
-    return search.search_catalogue(_kept(spark, sf_dir).statistics(), SEARCH_TERM)
+    kept = _kept(spark, sf_dir)
+    return search.search_indexed(kept.label_grams(), kept.statistics(), SEARCH_TERM)
 
 
 sql_product_search = with_reviews(f"""
@@ -1005,8 +1006,8 @@ USER, PRODUCT = "1", "2"
 
 
 def q_user_page(spark, sf_dir):
-    """P6 + O3: the history of one user."""
-    return users.user_history(users.one_user(clean_table(spark, sf_dir), USER))
+    """P6 + O3: the history of one user, from the copy laid out by user."""
+    return users.user_history(_kept(spark, sf_dir).user_reviews(USER))
 
 
 _SQL_HISTORY = f"""

@@ -17,7 +17,7 @@ from revlens.plans.tables import clean_table, stored_path, stored_reviews
 from tests.conftest import SF001
 
 REQUESTS = ["product_lookup", "user_lookup", "user_index_of", "product_search", "similar_titles", "similar_products",
-            "content_similar"]
+            "content_similar", "user_page"]
 
 
 @pytest.mark.parametrize("name", REQUESTS)
@@ -86,3 +86,38 @@ def test_changed_test_tables_are_ingested_again(spark, tmp_dir):
     n = clean_table(spark, tmp_dir).count()
     pq.write_table(pq.read_table(f"{SF001}/lineitem.parquet").slice(0, 100), f"{tmp_dir}/lineitem.parquet")
     assert stored_path(spark, tmp_dir) != before and clean_table(spark, tmp_dir).count() < n
+
+
+def test_a_user_reads_one_folder(spark, kept):
+    """One folder of the copy is listed and opened: here 1/40 of its bytes or so, and a row group of that folder."""
+    clean = kept.clean()
+    folder_bytes = kept.state()[1] // 40 + 1
+    for user in [r[0] for r in clean.groupBy("user_id").count().orderBy(F.desc("count")).limit(3).collect()] + ["nobody", "it's"]:
+        mine = kept.user_reviews(user, folder_bytes)
+        assert sorted(map(str, mine.select(*clean.columns).collect())) == sorted(map(str, clean.filter(F.col("user_id") == user).collect()))
+        plan = spark._jvm.PythonSQLUtils.explainString(mine._jdf.queryExecution(), "formatted")
+        assert re.search(r"PartitionFilters: \[.*user_folder#\d+ = \d+", plan) and f"EqualTo(user_id,{user})" in plan
+    laid = builds(kept, "reviews_by_user")
+    assert len(laid) == 1
+    root = f"{kept.root}/reviews_by_user/{laid[0]}"
+    sizes = [sum(os.path.getsize(f"{root}/{d}/{f}") for f in os.listdir(f"{root}/{d}")) for d in os.listdir(root) if "=" in d]
+    assert len(sizes) > 20 and max(sizes) < sum(sizes) / 8
+
+
+@pytest.mark.parametrize("term", ["bolt|ring", "ring", "RING", "bo", "", "b.lt", "rings?", "brand#1.*promo", "a|ring", "(bolt)", "[rs]ing",
+                                  "s\u0131lk", "silk", "kelvin", "stra\u00dfe", "istanbul", "mas+ive", r"\d\d", "zzzz", "^small", "long+?er"])
+def test_search_is_equal_with_and_without_the_index(spark, term):
+    titles = ["small ring Brand#1 PROMO", "Silk Bolt", "S\u0130LK", "\u017filk", "\u212aelvin", "kelvin", "STRASSE", "stra\u00dfe", "\u0130stanbul",
+              "ringring", "masssive bolt", "rin", "b", "", None, "longger", "\U0001f600 ring", "bo\u0308lt"]
+    catalogue = spark.createDataFrame([(str(i), t) for i, t in enumerate(titles)], "product_id string, title string")
+    for literal in (False, True):
+        rows = lambda df: sorted(map(str, df.collect()))
+        assert rows(search.search_indexed(search.label_grams(catalogue), catalogue, term, literal)) == rows(
+            search.search_catalogue(catalogue, term, literal))
+
+
+def test_pieces_a_match_must_hold():
+    assert search.required_grams("bolt|ring") == [{"bol", "olt"}, {"rin", "ing"}]
+    assert search.required_grams("Rings?") == [{"rin", "ing"}] and search.required_grams("ring+s") == [{"rin", "ing"}]
+    assert search.required_grams("bolt|a") is None and search.required_grams("(bolt)") is None
+    assert search.required_grams("a+b", literal=True) == [{"a+b"}] and search.required_grams("ri\u00f1g") is None
