@@ -27,7 +27,8 @@ def with_review_id(df: DataFrame) -> DataFrame:
     return df.withColumn("review_id", key)
 
 
-def parse_dumps(spark: SparkSession, path: str, category: str | None = None, line_sep: str = "\n\n") -> DataFrame:
+def parse_dumps(spark: SparkSession, path: str, category: str | None = None,
+                line_sep: str | None = None) -> DataFrame:
     """Raw dump(s) -> review rows with category and review_id, plus raw text of numbers."""
     blocks = raw.read_raw_blocks(spark, path, line_sep)
     parsed = raw.parse_blocks(blocks, keep_raw=True)
@@ -36,7 +37,7 @@ def parse_dumps(spark: SparkSession, path: str, category: str | None = None, lin
 
 
 def ingest_dumps(spark: SparkSession, path: str, out: str, category: str | None = None,
-                 line_sep: str = "\n\n", csv_out: str | None = None) -> dict:
+                 line_sep: str | None = None, csv_out: str | None = None) -> dict:
     """Parse dumps under ``path`` and store them at ``out``; returns the counts.
 
     Numbers that are present but unparsable are stored as null and counted
@@ -58,7 +59,7 @@ def ingest_dumps(spark: SparkSession, path: str, out: str, category: str | None
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m revlens.plans.ingest RAW_DIR OUT_DIR [--csv DIR] [--category NAME] [--crlf]``
+    """``python -m revlens.plans.ingest RAW_DIR OUT_DIR [--csv DIR] [--category NAME]``
 
     Runs E1 on the session the environment configures (cluster settings come
     from spark-submit / spark-defaults) and prints the record and reject
@@ -72,11 +73,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("out_dir")
     ap.add_argument("--csv", dest="csv_out")
     ap.add_argument("--category")
-    ap.add_argument("--crlf", action="store_true", help="dump files use CRLF line ends")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("revlens-ingest").getOrCreate()
-    counts = ingest_dumps(spark, args.raw_dir, args.out_dir, category=args.category,
-                          line_sep="\r\n\r\n" if args.crlf else "\n\n", csv_out=args.csv_out)
+    counts = ingest_dumps(spark, args.raw_dir, args.out_dir, category=args.category, csv_out=args.csv_out)
     print(json.dumps(counts))
 
 

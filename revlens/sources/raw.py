@@ -9,11 +9,17 @@ expression pass per block collects the lines that start with a known key;
 each column then takes the last of its lines (a repeated key: last wins).
 Everything is one narrow stage - no shuffle.
 
-A CRLF file has no ``\\n\\n``; pass ``line_sep="\\r\\n\\r\\n"`` for it.
+The separator decides only where a file may be split into tasks: whatever it is,
+chunks are split again into the same records.  Without ``line_sep`` it is found
+per file, from the file's first ``PROBE_BYTES`` (:func:`separators`), and files
+of one separator are one scan; a CRLF dump, say, splits across tasks as any other.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +64,72 @@ def _raw_value(key_lines: Column, key: str) -> Column:
     return _strip(F.substring_index(F.substring(last, F.lit(len(key) + 1), F.length(last)), key, 1))
 
 
-def read_raw_blocks(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFrame:
-    """One row per record block: ``block`` text and ``file_name``."""
-    return split_blocks(spark.read.option("lineSep", line_sep).text(path))
+# bytes read of each file to find its separator, and separators that get a scan of their own
+PROBE_BYTES = 1 << 16
+MAX_SCANS = 8
+DEFAULT_SEPARATOR = "\n\n"
+# two line ends of one kind with nothing but blanks between them
+_BREAK = re.compile(rb"(\r\n|\n|\r)[ \t]*\1")
+
+
+def separator_of(head: bytes) -> str:
+    """The most frequent record break in the first bytes of a dump (none: ``DEFAULT_SEPARATOR``)."""
+    found = Counter(m.group() for m in _BREAK.finditer(head))
+    # of equally frequent ones that found first
+    return found.most_common(1)[0][0].decode() if found else DEFAULT_SEPARATOR
+
+
+def separators(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The data files under ``path`` (a file, folder or glob) by their separator.
+
+    The driver reads ``PROBE_BYTES`` of every file, one after the other; compressed files keep the default,
+    as they are not split anyway.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop
+    root = hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    found = defaultdict(list)
+    for top in fs.globStatus(root) or []:
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            status = files.next()
+            file = status.getPath()
+            inside = file.toString()[len(top.getPath().toString()):].split("/")
+            if any(part.startswith(("_", ".")) for part in inside) or not status.getLen():
+                continue
+            sep = DEFAULT_SEPARATOR
+            if codecs.getCodec(file) is None:
+                stream = fs.open(file)
+                try:
+                    sep = separator_of(jvm.org.apache.commons.io.IOUtils.toByteArray(
+                        stream, int(min(status.getLen(), PROBE_BYTES))))
+                finally:
+                    stream.close()
+            found[sep].append(file.toString())
+    return dict(found)
+
+
+def read_raw_blocks(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
+    """One row per record block: ``block`` text and ``file_name``; the separator is found unless it is given."""
+    if line_sep is not None:
+        return split_blocks(spark.read.option("lineSep", line_sep).text(path))
+    found = separators(spark, path)
+    if len(found) <= 1:
+        return read_raw_blocks(spark, path, next(iter(found), DEFAULT_SEPARATOR))
+    rare = sorted(found, key=lambda s: (-len(found[s]), s))[MAX_SCANS - 1:]
+    left = [f for s in rare if s != DEFAULT_SEPARATOR for f in found.pop(s)]
+    if left:
+        found.setdefault(DEFAULT_SEPARATOR, []).extend(left)
+    # the partition columns of the whole folder, whatever files a scan has
+    columns = spark.read.text(path).schema
+    base = {} if re.search(r"[*?\[{]", path) else {"basePath": path}
+    out = None
+    for sep, files in sorted(found.items()):
+        part = split_blocks(spark.read.schema(columns).options(**base).option("lineSep", sep).text(files))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def split_blocks(chunks: DataFrame) -> DataFrame:
@@ -130,7 +199,7 @@ def category_of(file_name: Column | str) -> Column:
 
 
 def read_raw_reviews(
-    spark: SparkSession, path: str, category: str | None = None, line_sep: str = "\n\n"
+    spark: SparkSession, path: str, category: str | None = None, line_sep: str | None = None
 ) -> DataFrame:
     """S1+S2: raw dump(s) -> typed review rows.
 

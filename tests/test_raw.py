@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from revlens.operators.clean import clean_reviews
 from revlens.sources import raw
 
@@ -68,6 +71,47 @@ def test_crlf(spark, tmp_dir):
     assert rows[1].review_text == "Arrived bent."
 
 
+def _parts(df):
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("blank", ["", " \t"])
+def test_dumps_of_any_separator_are_read_by_several_tasks(spark, tmp_dir, end, blank):
+    recs = [REC_A.replace("P100", f"P{i}") + "\n" + blank for i in range(400)]
+    _write(tmp_dir, "Tools.txt", "\n".join(recs).replace("\n", end))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        blocks = raw.read_raw_blocks(spark, tmp_dir).filter(F.trim("block") != "")
+        assert _parts(blocks) >= 4
+        rows = raw.read_raw_reviews(spark, tmp_dir).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.product_id for r in rows) == sorted(f"P{i}" for i in range(400))
+    assert {r.review_text for r in rows} == {"Measures well &amp; folds flat."}
+
+
+def test_a_folder_of_several_separators(spark, tmp_dir):
+    text = REC_A + "\n\n" + REC_B
+    for n, end in enumerate(["\n", "\r\n", "\r", "\n"]):
+        _write(f"{tmp_dir}/shop={n}", f"T{n}.txt", text.replace("\n", end))
+    _write(f"{tmp_dir}/shop=9", "blank.txt", "")
+    _write(tmp_dir, "_hidden.txt", text)
+    found = raw.separators(spark, tmp_dir)
+    assert {s: len(f) for s, f in found.items()} == {"\n\n": 2, "\r\n\r\n": 1, "\r\r": 1}
+    got = sorted((r.category, r.shop, r.product_id) for r in raw.read_raw_reviews(spark, tmp_dir).collect())
+    assert got == [(f"T{n}", n, p) for n in range(4) for p in ("P100", "P200")]
+    for i in range(raw.MAX_SCANS + 3):  # more separators than scans: the rare ones are read with the default
+        _write(f"{tmp_dir}/shop={20 + i}", f"W{i}.txt", text.replace("\n\n", "\n" + " " * (i + 1) + "\n"))
+    assert raw.read_raw_reviews(spark, tmp_dir).count() == 2 * (4 + raw.MAX_SCANS + 3)
+
+
+def test_separator_of_a_head():
+    assert raw.separator_of(b"") == raw.separator_of(b"no break\nhere") == "\n\n"
+    assert raw.separator_of(b"a\r\n\r\nb\r\n\r\nc\n\nd") == "\r\n\r\n"
+
+
 def test_key_rules(spark, tmp_dir):
     rec = "\n".join([
         "   product/productId: P300   ",  # leading spaces before a key
