@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.operators import content, products, recommend, search, users
+from revlens.operators import content, days, products, recommend, search, users
 from revlens.operators.clean import clean_reviews, interactions
 from revlens.operators.indexing import dense_index
 from revlens.sources.files import path_exists, read_review_table, stream_folder
@@ -125,6 +125,13 @@ class Artefacts:
         mine = laid.filter(F.col("user_folder") == bucket(F.lit(user_id)))
         return users.one_user(mine, user_id).drop("user_folder")
 
+    def days(self) -> DataFrame:
+        """Sums per (category, product, day), by day."""
+        return self.kept("days", lambda: days.day_table(self.clean()), "day", "product_id")
+
+    def day_sketches(self) -> DataFrame:
+        return self.kept("day_sketches", lambda: days.day_sketches(self.clean()), "day", "category")
+
     def index(self, key: str, min_interactions: int = recommend.MIN_INTERACTIONS) -> DataFrame:
         """(key, index, count) of the filtered interactions, ``key`` user_id or product_id."""
         def build() -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.fuzzy import SIMILARITY_THRESHOLD
-from revlens.operators import content, content_all, evaluate, products, recommend, search, similar, summary, timeline, upsert, users
+from revlens.operators import content, content_all, days, evaluate, products, recommend, search, similar, summary, timeline, upsert, users
 from revlens.operators.clean import interactions
 from revlens.operators.indexing import dense_index
 from revlens.plans.artefacts import Artefacts
@@ -375,6 +375,30 @@ select category, cast(year({_sql_date('review_time')}) as integer) as year, coun
 group by 1, 2 order by 1, 2""")
 
 
+# ---- period pages from day tables: the same results, so the same SQL ---------------------
+
+
+def q_trending_from_days(spark, sf_dir):
+    """A3 over the analysis period, from the day table."""
+    return days.trending_products(_kept(spark, sf_dir).days(), PERIOD_START, PERIOD_END).select(
+        "product_id", "title", "n_reviews", _r("avg_rating"), _r("avg_price"))
+
+
+def q_daily_from_days(spark, sf_dir):
+    """A16 per category over the analysis period, from the day table."""
+    return days.daily_activity(days.days_in(_kept(spark, sf_dir).days(), PERIOD_START, PERIOD_END), ("category",))
+
+
+def q_yearly_from_days(spark, sf_dir):
+    """A17 per category, from the day table."""
+    return days.yearly_activity(_kept(spark, sf_dir).days(), ("category",))
+
+
+def q_period_overview_approx(spark, sf_dir):
+    """A9-A11 over the analysis period, users and products from merged sketches."""
+    return days.overview(days.days_in(_kept(spark, sf_dir).day_sketches(), PERIOD_START, PERIOD_END)).select(*_overview_cols())
+
+
 # ---- table statistics ----------------------------------------------------------------
 
 
@@ -1205,6 +1229,10 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {
     "rating_histogram_by_category": (q_rating_histogram_by_category, sql_rating_histogram_by_category),
     "database_summary": (q_database_summary, sql_database_summary),
     "size_distribution": (q_size_distribution, sql_size_distribution),
+    "trending_from_days": (q_trending_from_days, sql_trending_products),
+    "daily_from_days": (q_daily_from_days, sql_daily_activity_by_category),
+    "yearly_from_days": (q_yearly_from_days, sql_yearly_activity_by_category),
+    "period_overview_approx": (q_period_overview_approx, None),
     "product_search": (q_product_search, sql_product_search),
     "similar_titles": (q_similar_titles, sql_similar_titles),
     "similar_products": (q_similar_products, sql_similar_products),
