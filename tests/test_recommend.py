@@ -250,3 +250,28 @@ def test_dense_index_across_many_partitions(spark):
         assert parts > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_a_product_is_sent_once_per_user_group_and_yields_are_k_a_user(spark, monkeypatch):
+    """Many tied products over many blocks: ten rows a user leave the tasks, not ten per block."""
+    for name, value in (("HEAD", 5), ("USER_BLOCK", 8), ("ITEM_BLOCK", 4), ("PAIRS", 16)):
+        monkeypatch.setattr(inner_topk, name, value)
+    sent = []
+    meet = inner_topk._met
+    monkeypatch.setattr(inner_topk, "_met", lambda u, i, n, k: sent.append(meet(u, i, n, k)) or sent[-1])
+    users, items = np.ones((40, 3)), np.ones((200, 3))
+    items[150:] *= 1 - np.arange(50)[:, None] / 100
+    got = inner_topk.top_products(_factors(spark, users), _factors(spark, items), 10, 20).collect()
+    assert sorted((r.user_index, r.position, r.product_index) for r in got) == [
+        (u, n + 1, n) for u in range(40) for n in range(10)]
+    assert sent[-1].count() == 400 and sent[-1].rdd.getNumPartitions() == 2
+
+
+@pytest.mark.parametrize("size", [1e-30, 1.0, 1e30])
+def test_top_products_of_any_size_of_factors(spark, size):
+    """Products are found in single precision; factors beyond its range must not be lost."""
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(20, 6)), rng.normal(size=(90, 6)) * size
+    got = inner_topk.top_products(_factors(spark, users), _factors(spark, items), 7).collect()
+    want = [(u, n + 1, int(i)) for u in range(20) for n, i in enumerate(np.argsort(-(items @ users[u]))[:7])]
+    assert sorted((r.user_index, r.position, r.product_index) for r in got) == want
