@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.dates import display_date
 from revlens.functions.text import preview, text_or_default
+from revlens.session import sorted_rows
 
 PRODUCT_KEYS = ("product_id", "title")
 
@@ -94,11 +95,12 @@ def product_reviews(df: DataFrame) -> DataFrame:
 
     A range-partitioned sort on (product_id, review_time desc, review_id): a
     product with very many reviews spreads over several tasks instead of one.
+    The ranges are as many as the input's files need.
     """
-    return df.select(
+    return sorted_rows(df.select(
         "product_id", "user_name", "rating", "price", "helpfulness", "review_summary", "review_text",
         "review_time", display_date("review_time").alias("date"), "review_id",
-    ).orderBy("product_id", F.desc("review_time"), "review_id")
+    ), "product_id", F.desc("review_time"), "review_id")
 
 
 def latest_reviews(df: DataFrame, k: int = 3, keys: Sequence[str] = ("product_id",)) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.dates import display_date
+from revlens.session import sorted_rows
 
 
 def user_summary(df: DataFrame, keys=("user_id",)) -> DataFrame:
@@ -30,10 +31,10 @@ def user_history(df: DataFrame) -> DataFrame:
 
     Range-partitioned sort, so a very active user spreads over several tasks.
     """
-    return df.select(
+    return sorted_rows(df.select(
         "user_id", "product_id", "title", "rating", "price", "helpfulness", "review_summary",
         "review_time", display_date("review_time").alias("date"), "review_id",
-    ).orderBy("user_id", F.desc("review_time"), "review_id")
+    ), "user_id", F.desc("review_time"), "review_id")
 
 
 def review_detail(df: DataFrame, keys=("user_id", "product_id", "review_time")) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from revlens.operators import content, days, products, recommend, search, users
 from revlens.operators.clean import clean_reviews, interactions
 from revlens.operators.indexing import dense_index
+from revlens.session import partitions_for
 from revlens.sources.files import path_exists, read_review_table, stream_folder
 
 
@@ -84,10 +85,11 @@ class Artefacts:
         folder = f"{self.root}/{name}/{version}-{hashlib.sha256(text.encode()).hexdigest()[:8]}"
         found = _complete(self.spark, folder)
         if found is None:
-            writer = build().repartitionByRange(*by).sortWithinPartitions(*by).write
-            if folders:
-                writer = writer.partitionBy(folders)
-            writer.parquet(f"{folder}/{uuid.uuid4().hex}")
+            with partitions_for(self.spark, self.state()[1]):
+                writer = build().repartitionByRange(*by).sortWithinPartitions(*by).write
+                if folders:
+                    writer = writer.partitionBy(folders)
+                writer.parquet(f"{folder}/{uuid.uuid4().hex}")
             found = _complete(self.spark, folder)
         return self.spark.read.parquet(found)
 

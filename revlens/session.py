@@ -11,9 +11,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# bytes of Parquet input for a task of a full sort or join: up to some hundred MB of rows
+TASK_BYTES = 8 << 20
+
 _LOCAL_FALLBACK: dict[str, str] = {}
 
 
@@ -60,6 +65,44 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(shared_dir(spark), "revlens", *parts, uuid.uuid4().hex)
 
 
+def tasks_for(spark: SparkSession, size: int, task_bytes: int = TASK_BYTES) -> int | None:
+    """Tasks for ``size`` input bytes, if that is more than ``spark.sql.shuffle.partitions``.
+
+    Spark's number is fixed and AQE only merges partitions, so the rows of a task would grow with the input.
+    """
+    n = -(-size // task_bytes)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs run inside have shuffle partitions enough for ``size`` input bytes (AQE merges small ones)."""
+    before, n = spark.conf.get("spark.sql.shuffle.partitions"), tasks_for(spark, size)
+    if n is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        if n is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes under the folders of the files that ``df`` reads (a folder per category, not a call per file)."""
+    sc = df.sparkSession.sparkContext
+    total = 0
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(folder))
+        total += path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return total
+
+
+def sorted_rows(df: DataFrame, *order, size: int | None = None) -> DataFrame:
+    """``df`` in the order ``order``, by ranges; as many of them as ``size`` bytes (its files') need."""
+    n = tasks_for(df.sparkSession, scanned_bytes(df) if size is None else size)
+    return df.orderBy(*order) if n is None else df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
 def written(df: DataFrame, *parts: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, *parts)

@@ -84,3 +84,25 @@ def test_similar_product_stats_by_id_set(spark):
                           ("3", "p3", "t3", "u", 4.0, 1.0, 1, "x")])
     ids = spark.createDataFrame([("p1",), ("p2",), ("p2",)], "product_id string")
     assert [r.product_id for r in products.similar_product_stats(df, ids).collect()] == ["p2", "p1"]
+
+
+def test_tasks_of_sorts_and_joins_follow_the_input(spark, monkeypatch, tmp_path):
+    """More input than the session's shuffle partitions are meant for: more ranges, in the same order."""
+    from revlens import session
+    from revlens.operators import products, users
+
+    df = spark.range(4000).selectExpr(
+        "cast(id % 7 as string) product_id", "cast(id % 5 as string) user_id", "'t' title", "'n' user_name", "1.0f rating",
+        "2.0f price", "'1/1' helpfulness", "'s' review_summary", "'x' review_text", "id % 11 review_time", "cast(id as string) review_id")
+    df.repartition(4).write.parquet(f"{tmp_path}/r")
+    stored = spark.read.parquet(f"{tmp_path}/r")
+    size, before = session.scanned_bytes(stored), spark.conf.get("spark.sql.shuffle.partitions")
+    wide = [products.product_reviews(stored), users.user_history(stored)]
+    monkeypatch.setattr(session.tasks_for, "__defaults__", (-(-size // (3 * int(before))),))
+    many = [products.product_reviews(stored), users.user_history(stored)]
+    for a, b in zip(wide, many):
+        assert b.rdd.getNumPartitions() > int(before)
+        assert a.collect() == b.collect()
+    with session.partitions_for(spark, size):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
