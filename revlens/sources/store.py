@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from revlens.operators import upsert
 from revlens.schema import STORED_SCHEMA
+from revlens.session import partitions_for, scanned_bytes, written
 from revlens.sources.files import empty_reviews, write_review_table
 
 
@@ -117,11 +118,14 @@ class ReviewStore:
     def change(self, changes: DataFrame) -> int:
         """Rows of ``changes`` replace those of the same review_id, in whatever category they were; new ones are added."""
         base = self.version()
+        changes = written(changes, "changes")  # read several times
         touched = self._touched(base, changes.select("review_id").distinct())
         touched += [r["category"] for r in changes.select("category").distinct().collect()]
         if not touched:
             return base
-        return self._replace(base, touched, upsert.upsert(self.read(base, touched), changes))
+        held = self.read(base, touched)
+        with partitions_for(self.spark, scanned_bytes(held)):
+            return self._replace(base, touched, upsert.upsert(held, changes))
 
     def remove(self, keys: DataFrame) -> int:
         """The rows whose review_id is in ``keys`` go."""
@@ -129,4 +133,6 @@ class ReviewStore:
         touched = self._touched(base, keys.select("review_id").distinct())
         if not touched:
             return base
-        return self._replace(base, touched, upsert.delete(self.read(base, touched), keys))
+        held = self.read(base, touched)
+        with partitions_for(self.spark, scanned_bytes(held)):
+            return self._replace(base, touched, upsert.delete(held, keys))

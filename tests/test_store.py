@@ -82,3 +82,25 @@ def test_the_later_of_two_writers_fails(spark, store, reviews):
     with pytest.raises(Conflict):
         other._commit(base, other.folders(base))
     assert store.version() == 2 and store.read().count() == reviews.count() - 1
+
+
+def test_changes_are_computed_once(spark, tmp_path):
+    """A change that is costly to compute (here: counted) is written before it is read several times."""
+    from pyspark.sql import functions as F
+
+    from revlens.plans.tables import stored_reviews
+    from tests.conftest import SF001
+
+    rows = stored_reviews(spark, SF001).limit(50).cache()
+    store = ReviewStore(spark, f"{tmp_path}/store")
+    store.add(rows)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("float")
+    def price(x):
+        seen.add(1)
+        return 5.0
+
+    store.change(rows.withColumn("price", price(F.col("review_time"))))
+    assert seen.value == 50
+    assert {r.price for r in store.read().collect()} == {5.0}
