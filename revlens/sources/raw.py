@@ -222,11 +222,16 @@ def raw_block() -> Column:
     return F.concat_ws("\n", *lines)
 
 
-def write_raw(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None,
+              compression: str | None = None) -> None:
     """Write reviews as a raw dump (blocks separated by a blank line), optionally
-    one folder per value of ``partition_by`` (e.g. one dump per category)."""
+    one folder per value of ``partition_by`` (e.g. one dump per category).
+
+    ``compression`` (e.g. ``gzip``): such files are each read by one task, so they should be of bounded size."""
     extra = [partition_by] if partition_by else []
     writer = df.select(raw_block().alias("value"), *extra).write.mode(mode).option("lineSep", "\n\n")
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.text(path)

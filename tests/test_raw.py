@@ -175,3 +175,13 @@ def test_render_parse_round_trip(spark, tmp_path_factory, rows):
         return tuple(r)
 
     assert sorted(map(norm, back.collect()), key=repr) == sorted(map(norm, df.collect()), key=repr)
+
+
+def test_dumps_of_the_raw_queries_are_compressed(spark, tmp_path):
+    """As text they are several times the size of the table."""
+    from revlens.plans.registry import _raw_dump
+    from tests.conftest import SF001
+
+    path = _raw_dump(spark, SF001)
+    files = spark.read.text(path).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
