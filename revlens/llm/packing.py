@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 import zlib
 from array import array
@@ -56,7 +57,7 @@ GAP = 0.001
 CUT_GAP = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 80_000
+CACHE_WORDS = 120_000
 CACHE_CHARS = 32
 BLOCK_CHARS = 1 << 20
 RANK_BLOCK = 4096
@@ -65,6 +66,7 @@ RANK_BLOCK = 4096
 WORD = re.compile("[^\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 BREAK = re.compile(r"[\t\n\r ]")
 SIMPLE = "\u0130"  # letters below have one lower-case letter and are their own composed form
+MARKS = string.punctuation  # neither letters, digits nor white space to the tokenizer
 NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -99,9 +101,9 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in a row; words are encoded once and kept in a
-    bounded table.  A word of Latin letters and at most one final point or
-    comma is two pieces to the tokenizer, the letters in lower case and the
-    mark, so its letters are looked up by themselves.
+    bounded table.  A word of Latin letters and final ASCII marks is two pieces
+    to the tokenizer, the letters in lower case and the marks, so its letters
+    are looked up by themselves, as the word they are without the marks.
     """
 
     def __init__(self, path: str) -> None:
@@ -109,23 +111,26 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.letters = byte_letters()
-        self.marks = {m: self._ids(self.tok.encode(m, add_special_tokens=False).ids) for m in (".", ",")} | {"": b""}
+        self.marks = Looked(self._encoded)
         self.known = Looked(self._word)
-        self.cores = Looked(self._core)
 
     @staticmethod
     def _ids(ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
-    def _core(self, core: str) -> bytes:
-        shown = core if core.isascii() else "".join(map(self.letters.__getitem__, core.encode()))
-        return self._ids([t.id for t in self.model.tokenize(shown)])
+    def _encoded(self, word: str) -> bytes:
+        return self._ids(self.tok.encode(word, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        core = word[:-1] if word[-1] in ".," else word
-        if core.isalpha() and (core.isascii() or max(core) < SIMPLE):
-            return self.cores[core.lower()] + self.marks[word[len(core):]]
-        return self._ids(self.tok.encode(word, add_special_tokens=False).ids)
+        core = word.rstrip(MARKS)
+        if not core.isalpha() or not (core.isascii() or max(core) < SIMPLE):
+            return self._encoded(word)
+        lower = core.lower()
+        if lower != word:
+            ids = self.known[lower]
+            return ids if len(core) == len(word) else ids + self.marks[word[len(core):]]
+        shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return self._ids([t.id for t in self.model.tokenize(shown)])
 
     def blocks(self, text: str) -> Iterator[bytes]:
         """The ids of ``text``, a block of words at a time."""

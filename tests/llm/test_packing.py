@@ -1,4 +1,5 @@
 import random
+import string
 import zlib
 
 import numpy as np
@@ -34,6 +35,24 @@ def test_word_table_matches_the_tokenizer():
         assert b"".join(enc.blocks(t)) == np.asarray(ids_of(tok, t), "<u4").tobytes(), t[:50]
 
 
+def test_letters_and_marks_are_looked_up_apart():
+    tok, enc, whole = tokenizer(), packing.Encoder(public_tokenizers.path(packing.TOKENIZER)), []
+
+    class Counted:
+        def encode(self, text, **args):
+            whole.append(text)
+            return tok.encode(text, **args)
+
+    enc.tok = Counted()
+    rng = random.Random(3)
+    marks = ["", ",", "***", ".%%%", "_!", "''", "<|"] + ["".join(rng.choices(string.punctuation, k=3)) for _ in range(500)]
+    text = " ".join(w + m for w in ("word", "Word", "été", "Été") for m in marks) + " word's 12*** 0xff don't"
+    assert b"".join(enc.blocks(text)) == np.asarray(ids_of(tok, text), "<u4").tobytes()
+    # only marks, once each, and words that are not letters and marks go through the whole tokenizer
+    assert sorted(w for w in whole if w.strip(string.punctuation)) == ["0xff", "12***", "don't", "word's"]
+    assert len(whole) == len(set(whole))
+
+
 def test_small_tables_and_blocks(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 20)
     monkeypatch.setattr(packing, "BLOCK_CHARS", 50)
