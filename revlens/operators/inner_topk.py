@@ -50,13 +50,14 @@ USER_BLOCK, ITEM_BLOCK = 1024, 1024  # scores held at a time: 4 MB
 PAIRS = 1 << 16  # pairs summed in full at a time
 SLACK = 1e-9
 
+_SCORES = ("user_index", "product_index", "predicted_rating")
 SCORES = "user_index long, product_index long, predicted_rating double"
 BLOCK = "ids binary, vectors binary, wide boolean, floors binary"
 _BLOCK = ("ids", "vectors", "wide", "floors")
 NO_ID = np.iinfo(np.int64).max
 
 
-def _numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` with its 0-based ``rank`` in ``order``, written."""
     placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), f"{name}_sorted")
@@ -104,17 +105,48 @@ def _lengths(v: np.ndarray) -> np.ndarray:
     return largest * np.sqrt(((v / np.where(largest > 0, largest, 1)[:, None]) ** 2).sum(axis=1))
 
 
-class Asking:
+class Best:
+    """The ``k`` best (larger score, then smaller id) that each of some rows has met; ``bar``: scores below do not count."""
+
+    def __init__(self, ids: np.ndarray, bar: np.ndarray, k: int) -> None:
+        self.ids, self.bar, self.k = ids, bar, k
+        self.score = np.full((len(ids), k), -np.inf)
+        self.found = np.full((len(ids), k), NO_ID)
+
+    def take(self, r: np.ndarray, score: np.ndarray, found: np.ndarray) -> None:
+        """Take what the rows ``r`` (by position, repeats included) met."""
+        last = self.score[r, -1]
+        over = (score >= self.bar[r]) & ((score > last) | ((score == last) & (found < self.found[r, -1])))
+        if not over.any():
+            return
+        r, score, found = r[over], score[over], found[over]
+        who = np.unique(r)
+        r = np.concatenate([np.repeat(who, self.k), r])
+        score = np.concatenate([self.score[who].ravel(), score])
+        found = np.concatenate([self.found[who].ravel(), found])
+        order = np.lexsort((found, -score, r))
+        r, score, found = r[order], score[order], found[order]
+        keep = np.arange(len(r)) - np.searchsorted(r, r) < self.k
+        self.score[who] = score[keep].reshape(-1, self.k)
+        self.found[who] = found[keep].reshape(-1, self.k)
+        self.bar[who] = np.maximum(self.bar[who], self.score[who, -1])
+
+    def best(self, names: tuple[str, ...]) -> pa.RecordBatch:
+        there = self.found != NO_ID
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(self.ids, self.k)[there.ravel()]), pa.array(self.found[there]), pa.array(self.score[there])],
+            names=list(names))
+
+
+class Asking(Best):
     """A block of users and the ``k`` best products each has met."""
 
     def __init__(self, ids: bytes, vectors: bytes, wide: bool, floors: bytes, k: int) -> None:
-        self.ids, self.u = _unpacked(ids, vectors, wide)
-        self.norm, self.k = _lengths(self.u), k
-        self.unit = (self.u / np.where(self.norm > 0, self.norm, 1)[:, None]).astype(np.float32)
+        numbers, self.u = _unpacked(ids, vectors, wide)
         floor = np.frombuffer(floors, np.float64)
-        self.bar = np.where(np.isnan(floor), -np.inf, floor)
-        self.score = np.full((len(self.u), k), -np.inf)
-        self.found = np.full((len(self.u), k), NO_ID)
+        super().__init__(numbers, np.where(np.isnan(floor), -np.inf, floor), k)
+        self.norm = _lengths(self.u)
+        self.unit = (self.u / np.where(self.norm > 0, self.norm, 1)[:, None]).astype(np.float32)
         self.open = True  # shorter products may still count
 
     def meet(self, ids: np.ndarray, v: np.ndarray, unit: np.ndarray, top: float) -> None:
@@ -146,28 +178,7 @@ class Asking:
             rows, cols = rows[order], cols[order]
         for at in range(0, len(rows), PAIRS):
             r, c = rows[at:at + PAIRS], cols[at:at + PAIRS]
-            score = (self.u[r] * v[c]).sum(axis=1)
-            found, last = ids[c], self.score[r, -1]
-            over = (score >= self.bar[r]) & ((score > last) | ((score == last) & (found < self.found[r, -1])))
-            if not over.any():
-                continue
-            r, score, found = r[over], score[over], found[over]
-            who = np.unique(r)
-            r = np.concatenate([np.repeat(who, self.k), r])
-            score = np.concatenate([self.score[who].ravel(), score])
-            found = np.concatenate([self.found[who].ravel(), found])
-            order = np.lexsort((found, -score, r))
-            r, score, found = r[order], score[order], found[order]
-            keep = np.arange(len(r)) - np.searchsorted(r, r) < self.k
-            self.score[who] = score[keep].reshape(-1, self.k)
-            self.found[who] = found[keep].reshape(-1, self.k)
-            self.bar[who] = np.maximum(self.bar[who], self.score[who, -1])
-
-    def best(self) -> pa.RecordBatch:
-        there = self.found != NO_ID
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(self.ids, self.k)[there.ravel()]), pa.array(self.found[there]), pa.array(self.score[there])],
-            names=["user_index", "product_index", "predicted_rating"])
+            self.take(r, (self.u[r] * v[c]).sum(axis=1), ids[c])
 
 
 def _streamed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -176,7 +187,7 @@ def _streamed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for gu, users, ids, vectors, wide, floors in zip(*(batch[c] for c in ("gu", "users", *_BLOCK))):
             if gu.as_py() != group:
-                yield from (block.best() for block in held)
+                yield from (block.best(_SCORES) for block in held)
                 group, held = gu.as_py(), []
             if users.as_py():
                 held.append(Asking(ids.as_py(), vectors.as_py(), wide.as_py(), floors.as_py(), k))
@@ -187,7 +198,7 @@ def _streamed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             for block in held:
                 if block.open:
                     block.meet(found, v, unit, top)
-    yield from (block.best() for block in held)
+    yield from (block.best(_SCORES) for block in held)
 
 
 def _met(users: DataFrame, items: DataFrame, groups: int, k: int) -> DataFrame:
@@ -217,7 +228,7 @@ def tiles(users: DataFrame, items: DataFrame) -> DataFrame:
 def top_products(user_factors: DataFrame, item_factors: DataFrame, k: int, group: int | None = None) -> DataFrame:
     """(user_index, product_index, predicted_rating, position) for every row of ``user_factors`` (id, features)."""
     spark = user_factors.sparkSession
-    items = _numbered(_vectors(item_factors), [F.desc("norm"), F.asc("id")], "topk_items")
+    items = numbered(_vectors(item_factors), [F.desc("norm"), F.asc("id")], "topk_items")
     asking = written(_vectors(user_factors), "topk_users")
     n_users = asking.count()
     user_group = group or _group_size(n_users, spark)
@@ -235,7 +246,7 @@ def top_products(user_factors: DataFrame, item_factors: DataFrame, k: int, group
         F.min("predicted_rating").alias("floor"), F.count(F.lit(1)).alias("n"))
     first = written(first.filter(F.col("n") == k).select(F.col("user_index").alias("u"), "floor"), "topk_floors")
     need = F.when(F.col("norm") > 0, F.col("floor") / F.col("norm"))
-    users = _numbered(asking.join(first, F.col("id") == F.col("u"), "left").select("id", "features", "floor", need.alias("need")),
+    users = numbered(asking.join(first, F.col("id") == F.col("u"), "left").select("id", "features", "floor", need.alias("need")),
                       [F.asc_nulls_first("need"), F.asc("id")], "topk_needs")
     # dealt in blocks: the users that need many products are in all groups
     users = users.withColumn("gu", F.pmod(F.floor(F.col("rank") / USER_BLOCK), F.lit(n)).cast("long"))

@@ -56,3 +56,30 @@ def test_equals_all_pairs(spark, k, tile):
 def test_no_products(spark):
     w = content.term_weights(spark.createDataFrame([], SCHEMA))
     assert content_all.most_similar_by_content(w, content.norms(w)).count() == 0
+
+
+def test_terms_beyond_the_axes(spark, monkeypatch):
+    monkeypatch.setattr(content_all, "AXES", 4)
+    monkeypatch.setattr(content_all, "BLOCK_ENTRIES", 40)
+    monkeypatch.setattr(content_all, "GROUP_ENTRIES", 100)
+    monkeypatch.setattr(content_all, "PAIR_ENTRIES", 64)
+    test_equals_all_pairs(spark, 4, 16)
+
+
+def test_only_like_blocks_meet(spark, monkeypatch):
+    rnd = random.Random(5)
+    # 30 kinds of 32 products; the kinds share words that nearly all products have
+    rows = [(f"p{i}", f"kind{i % 30} make{i % 30}", " ".join(rnd.choices(["low", "high", "not"], k=4))) for i in range(960)]
+    kept, tiles = [], content_all._tiles
+
+    def counted(blocks, groups, k):
+        out = tiles(blocks, groups, k)
+        kept.append((blocks.count(), groups, out.count()))
+        return out
+
+    monkeypatch.setattr(content_all, "_tiles", counted)
+    w = content.term_weights(spark.createDataFrame(rows, SCHEMA))
+    got = content_all.most_similar_by_content(w, content.norms(w), 10, 16).collect()
+    assert len(got) == 9600 and all(int(r.product_id[1:]) % 30 == int(r.similar_id[1:]) % 30 for r in got)
+    (blocks, groups, met), = kept
+    assert met < blocks * groups / 4
