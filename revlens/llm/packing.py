@@ -57,7 +57,7 @@ GAP = 0.001
 CUT_GAP = 128
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 120_000
+CACHE_WORDS = 400_000
 CACHE_CHARS = 32
 BLOCK_CHARS = 1 << 20
 RANK_BLOCK = 4096
@@ -66,6 +66,7 @@ RANK_BLOCK = 4096
 WORD = re.compile("[^\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 BREAK = re.compile(r"[\t\n\r ]")
 SIMPLE = "\u0130"  # letters below have one lower-case letter and are their own composed form
+NOT_SIMPLE = re.compile(f"[^\0-{chr(ord(SIMPLE) - 1)}]")
 MARKS = string.punctuation  # neither letters, digits nor white space to the tokenizer
 NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -101,9 +102,10 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in a row; words are encoded once and kept in a
-    bounded table.  A word of Latin letters and final ASCII marks is two pieces
-    to the tokenizer, the letters in lower case and the marks, so its letters
-    are looked up by themselves, as the word they are without the marks.
+    bounded table.  Latin text is put in lower case first, as the tokenizer does,
+    so that a word has one entry.  A word of Latin letters and final ASCII marks
+    is two pieces to the tokenizer, the letters in lower case and the marks, so its
+    letters are looked up by themselves, as the word they are without the marks.
     """
 
     def __init__(self, path: str) -> None:
@@ -111,6 +113,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.letters = byte_letters()
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]  # found before lower-casing
         self.marks = Looked(self._encoded)
         self.known = Looked(self._word)
 
@@ -132,6 +135,13 @@ class Encoder:
         shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
         return self._ids([t.id for t in self.model.tokenize(shown)])
 
+    def _lower(self, text: str) -> str:
+        """``text`` in lower case where that is all the tokenizer's normalizer does to its words, else ``text``."""
+        if not text.isascii() and NOT_SIMPLE.search(text):
+            return text
+        lower = text.lower()
+        return text if any(t in lower for t in self.added) else lower
+
     def blocks(self, text: str) -> Iterator[bytes]:
         """The ids of ``text``, a block of words at a time."""
         at = 0
@@ -140,7 +150,7 @@ class Encoder:
             if end < len(text):  # up to the next white space
                 m = BREAK.search(text, end)
                 end = m.start() if m else len(text)
-            part = text[at:end]
+            part = self._lower(text[at:end])
             words = WORD.findall(part) if any(c in part for c in NOT_SPACE) else part.split()
             yield b"".join(map(self.known.__getitem__, words))
             at = end

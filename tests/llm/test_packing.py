@@ -53,6 +53,15 @@ def test_letters_and_marks_are_looked_up_apart():
     assert len(whole) == len(set(whole))
 
 
+def test_latin_words_have_one_entry_whatever_their_case():
+    tok, enc = tokenizer(), packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    for t in ["Foo foo FOO fOO", "Éa éa ÉA", "Foo <|STARTOFTEXT|> FOO<|EndOfText|>", "foo İ FOO Σ"]:
+        assert b"".join(enc.blocks(t)) == np.asarray(ids_of(tok, t), "<u4").tobytes(), t
+    enc.known.clear()
+    list(enc.blocks("Foo foo FOO fOO Éa éa ÉA"))
+    assert sorted(enc.known) == ["foo", "éa"]
+
+
 def test_small_tables_and_blocks(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 20)
     monkeypatch.setattr(packing, "BLOCK_CHARS", 50)
