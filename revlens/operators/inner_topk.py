@@ -11,16 +11,24 @@ two lengths (norms), so:
 3. a tile (user group, block of products) is worked on only if the block's
    longest product reaches what the group's least demanding user needs.  One
    task holds a user group with its k best so far and reads the blocks it needs
-   one after the other, longest products first.  In single precision and with
-   the rounding error as a margin it finds which pairs can reach the user's k-th
-   score; only those are summed in full.
+   one after the other, longest products first;
+4. the products of a block are laid in leaves of like vectors (split at the
+   median of their widest dimension).  The corner of a leaf's box that lies
+   farthest in a user's direction bounds its scores: a leaf whose corner stays
+   under the user's k-th score, or reaches just that with larger ids only, is
+   passed over.  The sum over the corner is taken as a score's is, and rounding
+   keeps the order of sums, so the bound holds for the rounded scores too;
+5. of the leaves left, the pairs that can reach the user's k-th score are found
+   in single precision, with the rounding error as a margin; only those are
+   summed in full.
 
 Nothing passes the driver but two counts, and no join is a product: users and
 products meet on the group's number.  A user is sent once and yields k rows.  A
 product is sent once per user group that can need it; there are twice as many
 groups as cores, and more only if a group would be over ``GROUP`` users, so what
 is moved grows with the products and a task's memory is bounded by ``GROUP``.
-The work stays the pairs within the bounds: where norms say little, all of them.
+The work stays the bounds of all leaves and the pairs within them: where neither
+norms nor boxes say much (many dimensions, no clusters), all pairs.
 
 Scores are exact: what the matrix product finds near the bar is summed in double,
 each pair alone, so equal vectors have equal scores whatever the tile.  Ties go
@@ -46,7 +54,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 HEAD = 1024
 GROUP = 262_144
 LEAST_GROUP = 1024
-USER_BLOCK, ITEM_BLOCK = 1024, 1024  # scores held at a time: 4 MB
+USER_BLOCK, ITEM_BLOCK = 1024, 16_384
+ALONE = 60_000  # pairs that can be scored in the time of one more call
+LEAF, LEAVES = 128, 8  # scores held at a time: those of a user block and 8 leaves, 4 MB
 PAIRS = 1 << 16  # pairs summed in full at a time
 SLACK = 1e-9
 
@@ -80,11 +90,34 @@ def _group_size(n: int, spark) -> int:
     return min(GROUP, max(LEAST_GROUP, -(-n // (2 * spark.sparkContext.defaultParallelism))))
 
 
-def _blocks(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per block: the ids, vectors and floors of its rows as bytes (vectors in single precision if that is exact)."""
+def like(v: np.ndarray, ids: np.ndarray, leaf: int) -> np.ndarray:
+    """An order of the vectors in which each run of ``leaf`` is close together; the longest first, of equal ones the smallest ids."""
+    parts, held = [], [np.argsort(ids, kind="stable")]
+    while held:
+        rows = held.pop()
+        if len(rows) <= leaf:
+            parts.append(rows)
+            continue
+        widest = np.argmax(np.ptp(v[rows], axis=0))
+        rows = rows[np.argsort(v[rows, widest], kind="stable")]
+        half = leaf * -(-len(rows) // (2 * leaf))  # only the last run is shorter
+        held += [rows[half:], rows[:half]]
+    norm = _lengths(v)
+    parts[:-1] = sorted(parts[:-1], key=lambda rows: (-norm[rows].max(), ids[rows].min()))
+    return np.concatenate(parts)
+
+
+def _blocks(df: DataFrame, *keys: str, leaf: int | None = None) -> DataFrame:
+    """One row per block: the ids, vectors and floors of its rows as bytes (vectors in single precision if that is exact).
+
+    With ``leaf`` the rows are in the order of :func:`like`.
+    """
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank")
         v = np.array(rows["features"].tolist(), np.float64)
+        if leaf:
+            order = like(v, rows["id"].to_numpy(np.int64), leaf)
+            rows, v = rows.iloc[order], v[order]
         with np.errstate(over="ignore"):
             short = v.astype(np.float32)
         wide = not np.array_equal(short, v)
@@ -138,31 +171,80 @@ class Best:
             names=list(names))
 
 
+class Products:
+    """A block of products: vectors over the norm of the longest (``top``), and the box of each leaf."""
+
+    def __init__(self, ids: bytes, vectors: bytes, wide: bool, leaf: int) -> None:
+        self.ids, self.v = _unpacked(ids, vectors, wide)
+        self.top = float(_lengths(self.v).max())
+        self.unit = (self.v / (self.top or 1)).astype(np.float32)
+        self.leaf, starts = leaf, np.arange(0, len(self.ids), leaf)
+        self.low, self.high = np.minimum.reduceat(self.v, starts), np.maximum.reduceat(self.v, starts)
+        self.corners = np.hstack([self.high, self.low])
+        self.far = _lengths(np.maximum(np.abs(self.low), np.abs(self.high)))
+        self.least = np.minimum.reduceat(self.ids, starts)
+
+    def rows(self, leaves: np.ndarray) -> np.ndarray:
+        rows = (leaves[:, None] * self.leaf + np.arange(self.leaf)).ravel()
+        return rows[rows < len(self.ids)]
+
+
 class Asking(Best):
     """A block of users and the ``k`` best products each has met."""
 
-    def __init__(self, ids: bytes, vectors: bytes, wide: bool, floors: bytes, k: int) -> None:
-        numbers, self.u = _unpacked(ids, vectors, wide)
-        floor = np.frombuffer(floors, np.float64)
-        super().__init__(numbers, np.where(np.isnan(floor), -np.inf, floor), k)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, floor: np.ndarray, k: int) -> None:
+        self.u = vectors
+        super().__init__(ids, np.where(np.isnan(floor), -np.inf, floor), k)
         self.norm = _lengths(self.u)
         self.unit = (self.u / np.where(self.norm > 0, self.norm, 1)[:, None]).astype(np.float32)
+        self.signs = np.vstack([np.maximum(self.u, 0).T, np.minimum(self.u, 0).T])
         self.open = True  # shorter products may still count
 
-    def meet(self, ids: np.ndarray, v: np.ndarray, unit: np.ndarray, top: float) -> None:
-        """``unit``: the products ``v`` over the norm ``top`` of their longest, in single precision."""
-        reach = self.norm * top
-        zero = np.flatnonzero((reach == 0) & (self.bar <= 0))  # score 0 with all: the smallest ids
+    def meet(self, products: Products) -> None:
+        """Blocks come in the order of falling ``top``."""
+        self.open = bool((self.bar <= self.norm * products.top * (1 + SLACK)).any())
+        if not self.open:
+            return
+        bound = products.corners @ self.signs  # leaf by user
+        bound += np.outer(products.far, self.norm * ((len(self.signs) + 8) * 2.0 ** -52))  # its rounding error
+        left, step = np.flatnonzero((~(bound < self.bar)).any(axis=1)), 1
+        left = left[np.argsort(-bound[left].max(axis=1), kind="stable")]  # the best first, they raise the bars
+        while len(left):
+            now, left = left[:step], left[step:]
+            leaf, rows = np.nonzero(~(bound[now] < self.bar))
+            enters = self._enters(rows, now[leaf], products)
+            if enters.any():
+                rows, leaf = rows[enters], leaf[enters]
+                who, some = np.unique(rows), np.unique(leaf)
+                # one by one, if few of the users ask for each
+                apart = len(some) > 1 and len(rows) * products.leaf + len(some) * ALONE < len(who) * len(some) * products.leaf
+                for of in ([n] for n in some) if apart else (some,):
+                    at = products.rows(now[of])
+                    self._meet(rows[leaf == of[0]] if apart else who, products.ids[at], products.v[at], products.unit[at], products.top)
+                left = left[(~(bound[left] < self.bar)).any(axis=1)]
+            step = min(2 * step, LEAVES)
+
+    def _enters(self, rows: np.ndarray, leaf: np.ndarray, products: Products) -> np.ndarray:
+        """Whether the leaves' corners get into the best of the users ``rows``, by the rule of :meth:`take`."""
+        u = self.u[rows]
+        most = (u * np.where(u > 0, products.high[leaf], products.low[leaf])).sum(axis=1)
+        last = self.score[rows, -1]
+        return (most >= self.bar[rows]) & ((most > last) | ((most == last) & (products.least[leaf] < self.found[rows, -1])))
+
+    def _meet(self, who: np.ndarray, ids: np.ndarray, v: np.ndarray, unit: np.ndarray, top: float) -> None:
+        """The users ``who`` and the products ``v``; ``unit``: these over ``top``, which no norm exceeds, in single precision."""
+        reach = self.norm[who] * top
+        zero = who[(reach == 0) & (self.bar[who] <= 0)]  # score 0 with all: the smallest ids
         if len(zero):
             first = np.argsort(ids, kind="stable")[:self.k]
             self._sum(np.repeat(zero, len(first)), np.tile(first, len(zero)), ids, v)
-        asking = np.flatnonzero((reach > 0) & (self.bar <= reach * (1 + SLACK)))
+        open_ = (reach > 0) & (self.bar[who] <= reach * (1 + SLACK))
+        asking, reach = who[open_], reach[open_]
         if not len(asking):
-            self.open = len(zero) > 0
             return
         margin = (v.shape[1] + 8) * 2.0 ** -23  # twice the rounding error of vectors of length 1
         near = (self.unit if len(asking) == len(self.unit) else self.unit[asking]) @ unit.T
-        least = np.maximum(self.bar[asking] / reach[asking], -2.0) - margin
+        least = np.maximum(self.bar[asking] / reach, -2.0) - margin
         rows, cols = np.divmod(np.flatnonzero(near >= least.astype(np.float32)[:, None]), near.shape[1])
         many = np.flatnonzero(np.bincount(rows, minlength=len(asking)) > 4 * self.k)
         if len(many):  # the bar is low: the k-th of these products counts
@@ -181,30 +263,40 @@ class Asking(Best):
             self.take(r, (self.u[r] * v[c]).sum(axis=1), ids[c])
 
 
-def _streamed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _asking(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> list[Asking]:
+    """The users of a group in blocks of like directions, which need like products."""
+    ids, u, floor = (np.concatenate(c) for c in zip(*held))
+    norm = _lengths(u)
+    order = like(u / np.where(norm > 0, norm, 1)[:, None], ids, USER_BLOCK)
+    return [Asking(ids[rows], u[rows], floor[rows], k) for rows in np.split(order, range(USER_BLOCK, len(order), USER_BLOCK))]
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], k: int, leaf: int) -> Iterator[pa.RecordBatch]:
     """The best of each group's users; its user blocks come before its product blocks."""
-    group, held = None, []
+    group, held, asking = None, [], []
     for batch in batches:
         for gu, users, ids, vectors, wide, floors in zip(*(batch[c] for c in ("gu", "users", *_BLOCK))):
             if gu.as_py() != group:
-                yield from (block.best(_SCORES) for block in held)
-                group, held = gu.as_py(), []
+                yield from (block.best(_SCORES) for block in asking)
+                group, held, asking = gu.as_py(), [], []
             if users.as_py():
-                held.append(Asking(ids.as_py(), vectors.as_py(), wide.as_py(), floors.as_py(), k))
+                held.append((*_unpacked(ids.as_py(), vectors.as_py(), wide.as_py()), np.frombuffer(floors.as_py(), np.float64)))
                 continue
-            found, v = _unpacked(ids.as_py(), vectors.as_py(), wide.as_py())
-            top = float(_lengths(v).max())
-            unit = (v / (top or 1)).astype(np.float32)
-            for block in held:
+            if held:
+                held, asking = [], _asking(held, k)
+            products = Products(ids.as_py(), vectors.as_py(), wide.as_py(), leaf)
+            for block in asking:
                 if block.open:
-                    block.meet(found, v, unit, top)
-    yield from (block.best(_SCORES) for block in held)
+                    block.meet(products)
+    yield from (block.best(_SCORES) for block in asking)
 
 
 def _met(users: DataFrame, items: DataFrame, groups: int, k: int) -> DataFrame:
     """The best of the user blocks among the product blocks of their group; a group is a partition of its own."""
+    leaf = LEAF
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _streamed(batches, k)
+        return _streamed(batches, k, leaf)
 
     rows = users.unionByName(items).repartitionById(groups, F.col("gu").cast("int"))
     return rows.sortWithinPartitions("gu", F.desc("users"), "at").mapInArrow(run, SCORES)
@@ -235,7 +327,7 @@ def top_products(user_factors: DataFrame, item_factors: DataFrame, k: int, group
     items = items.withColumn("gi", F.floor(F.col("rank") / (group or ITEM_BLOCK)).cast("long"))
     # the first bar, from the longest products
     n = max(1, -(-n_users // user_group))
-    head = _blocks(items.filter(F.col("rank") < max(HEAD, k)).withColumn("floor", F.lit(None).cast("double")), "gi")
+    head = _blocks(items.filter(F.col("rank") < max(HEAD, k)).withColumn("floor", F.lit(None).cast("double")), "gi", leaf=LEAF)
     head = head.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("gu"), F.col("gi").alias("at"),
                        F.lit(False).alias("users"), *_BLOCK)
     spread = asking.select(
@@ -252,7 +344,7 @@ def top_products(user_factors: DataFrame, item_factors: DataFrame, k: int, group
     users = users.withColumn("gu", F.pmod(F.floor(F.col("rank") / USER_BLOCK), F.lit(n)).cast("long"))
     met = written(tiles(users, items), "topk_tiles")
     user_blocks = _blocks(users.withColumn("at", F.floor(F.col("rank") / USER_BLOCK)), "gu", "at")
-    item_blocks = written(_blocks(items.withColumn("floor", F.lit(None).cast("double")), "gi"), "topk_blocks")
+    item_blocks = written(_blocks(items.withColumn("floor", F.lit(None).cast("double")), "gi", leaf=LEAF), "topk_blocks")
     scored = _met(user_blocks.withColumn("users", F.lit(True)),
                   item_blocks.join(met, "gi").withColumnRenamed("gi", "at").withColumn("users", F.lit(False)), n, k)
     w = Window.partitionBy("user_index").orderBy(F.desc("predicted_rating"), F.asc("product_index"))

@@ -275,3 +275,56 @@ def test_top_products_of_any_size_of_factors(spark, size):
     got = inner_topk.top_products(_factors(spark, users), _factors(spark, items), 7).collect()
     want = [(u, n + 1, int(i)) for u in range(20) for n, i in enumerate(np.argsort(-(items @ users[u]))[:7])]
     assert sorted((r.user_index, r.position, r.product_index) for r in got) == want
+
+
+def _met_pairs(monkeypatch, u, v, ids, k, leaf, block):
+    """The ``k`` best products of each user over blocks in falling norm, and how many pairs were scored."""
+    scored, meet = [], inner_topk.Asking._meet
+    monkeypatch.setattr(inner_topk.Asking, "_meet", lambda self, who, i, *a: scored.append(len(who) * len(i)) or meet(self, who, i, *a))
+    asking = inner_topk.Asking(np.arange(len(u)), u, np.full(len(u), np.nan), k)
+    by_norm = np.lexsort((ids, -np.sqrt((v * v).sum(axis=1))))
+    for at in range(0, len(v), block):
+        rows = by_norm[at:at + block]
+        rows = rows[inner_topk.like(v[rows], ids[rows], leaf)]
+        products = inner_topk.Products(ids[rows].tobytes(), v[rows].tobytes(), True, leaf)
+        if asking.open:
+            asking.meet(products)
+    return asking, sum(scored)
+
+
+def test_leaves_out_of_reach_are_passed_over(monkeypatch):
+    """Products of one length in all directions: norms say nothing, the boxes of the leaves do."""
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(200, 3)) + [6, 0, 0], rng.normal(size=(8000, 3))
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    ids = rng.permutation(8000).astype(np.int64)
+    asking, pairs = _met_pairs(monkeypatch, u, v, ids, 10, 32, 4000)
+    scores = (u[:, None, :] * v[None, :, :]).sum(axis=2)
+    for n in range(200):
+        best = np.lexsort((ids, -scores[n]))[:10]
+        assert asking.found[n].tolist() == ids[best].tolist() and asking.score[n].tolist() == scores[n, best].tolist()
+    assert pairs < 0.2 * 200 * 8000  # all of them before
+
+
+def test_leaves_that_only_tie_with_larger_ids_are_passed_over(monkeypatch):
+    u, v = np.tile([[6.0, 0.0, 1.0]], (50, 1)), np.tile([[0.1, 0.2, 0.3]], (5000, 1))
+    v[::3, 1] = 0.4  # another vector of the same score
+    ids = np.arange(5000)[::-1].copy()
+    asking, pairs = _met_pairs(monkeypatch, u, v, ids, 10, 32, 1000)
+    assert asking.found.tolist() == [list(range(10))] * 50
+    assert pairs < 0.2 * 50 * 5000
+
+
+@pytest.mark.parametrize("d", [1, 3, 7, 8, 20, 130])
+def test_a_leaf_bounds_its_rounded_scores(d):
+    rng = np.random.default_rng(d)
+    u, v = (rng.normal(size=(300, d)) * 10.0 ** rng.integers(-9, 9, (300, d)) for _ in range(2))
+    v[10:20] = v[10]  # a leaf of equal vectors: the bound is the score
+    products = inner_topk.Products(np.arange(300).tobytes(), v.tobytes(), True, 10)
+    asking = inner_topk.Asking(np.arange(300), u, np.full(300, np.nan), 1)
+    for n in range(300):
+        scores = (u * v[n]).sum(axis=1)
+        asking.score, asking.bar, asking.found = scores[:, None], scores, np.full((300, 1), n + 1)
+        assert asking._enters(np.arange(300), np.full(300, n // 10), products).all()
+        asking.found = np.full((300, 1), products.least[n // 10])  # its smallest id is there already
+        assert n // 10 != 1 or not asking._enters(np.arange(300), np.full(300, 1), products).any()
